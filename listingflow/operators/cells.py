@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listingflow.functions.columns import METERS_PER_DEGREE, dbl
-from listingflow.session import broadcast_if_small, materialize
+from listingflow.session import materialize
 
 # Cells are a hair wider than the limit, so rounding can never put a pair at the limit two cells apart.
 _SLACK = 1.0 + 1e-6
@@ -83,12 +83,11 @@ def join_on_cells(
     if hot.isEmpty():
         on = [F.col(f"p.{k}") == F.col(f"h.{k}") for k in keys]
         return probe.alias("p").join(home.alias("h"), [*on, condition])
-    lookup = broadcast_if_small(hot)
     probe_id, home_id = ids
-    salted_home = home.join(lookup, list(keys), "left").withColumn(
+    salted_home = home.join(hot, list(keys), "left").withColumn(
         "salt", F.pmod(F.xxhash64(home_id), F.coalesce("salts", F.lit(1)).cast("bigint"))
     ).drop("salts")
-    salted_probe = probe.join(lookup, list(keys), "left").withColumn(
+    salted_probe = probe.join(hot, list(keys), "left").withColumn(
         "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("salts", F.lit(1)).cast("bigint") - 1))
     ).drop("salts")
     on = [F.col(f"p.{k}") == F.col(f"h.{k}") for k in [*keys, "salt"]]

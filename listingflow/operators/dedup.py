@@ -20,7 +20,7 @@ from listingflow.operators.components import connected_components
 from listingflow.operators.textweights import (
     as_vectors, cosine_pairs, document_counts, document_frequencies, term_weights,
 )
-from listingflow.session import broadcast_if_small, materialize
+from listingflow.session import materialize
 
 # Bounds on a text similarity are trusted only beyond this distance from the limit.
 _BOUND_MARGIN = 1e-9
@@ -184,13 +184,12 @@ def _placed_pairs(points: DataFrame, config: MatchConfig) -> DataFrame:
     on = [F.col(f"p.{k}") == F.col(f"h.{k}") for k in keys]
     if hot.isEmpty():
         return _as_pairs(probe.alias("p").join(home.alias("h"), [*on, condition]))
-    lookup = broadcast_if_small(hot)
-    cold = probe.join(lookup, keys, "left_anti").alias("p").join(
-        home.join(lookup, keys, "left_anti").alias("h"), [*on, condition]
+    cold = probe.join(hot, keys, "left_anti").alias("p").join(
+        home.join(hot, keys, "left_anti").alias("h"), [*on, condition]
     )
     refined = join_on_cells(
-        _around_ratio(probe.join(lookup, keys), config),
-        _by_ratio(home.join(lookup, keys), config),
+        _around_ratio(probe.join(hot, keys), config),
+        _by_ratio(home.join(hot, keys), config),
         [*keys, "price_cell", "size_cell"], config.hot_rows, condition, ("point_id", "point_id"),
     )
     return _as_pairs(cold).unionByName(_as_pairs(refined))

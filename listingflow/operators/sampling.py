@@ -22,10 +22,13 @@ def systematic_sample(df: DataFrame, order: Sequence[Column], length: int = FEED
 def latency_summary(df: DataFrame, column: str) -> DataFrame:
     """One row: count, mean, middle value, value at 99 % and maximum, to 4 digits.
 
-    Percentiles are values at a position of the sorted column, not interpolated.
+    Percentiles are values at a position of the sorted column, not interpolated. A tie-break per row lets the
+    range partitioning cut through a value that very many rows share.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    indexed = with_row_index(values, [F.col("v")], "position")
+    values = df.select(F.col(column).cast("double").alias("v"), F.monotonically_increasing_id().alias("tie")).where(
+        F.col("v").isNotNull()
+    )
+    indexed = with_row_index(values, [F.col("v"), F.col("tie")], "position")
     n = indexed.count()
     at = {"p50": n // 2, "p99": int(n * 0.99)}
     return indexed.agg(

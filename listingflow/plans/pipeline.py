@@ -1,0 +1,94 @@
+"""All steps on one batch, from raw listings to the loaded warehouse and its result files."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from datetime import datetime
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from listingflow.functions.columns import FRAUD_THRESHOLD
+from listingflow.operators import evaluate, model, quality, requests, review, sampling
+from listingflow.operators.dedup import Duplicates, MatchConfig, find_duplicates
+from listingflow.plans.analytics import QueryResult, run_all
+from listingflow.plans.load import LoadResult, load_batch, table_counts
+from listingflow.session import materialize
+from listingflow.sources.listings import write_records
+from listingflow.streaming.scoring import judge_feed
+
+
+@dataclass(frozen=True)
+class PipelineResult:
+    duplicates: Duplicates
+    duplicate_metrics: DataFrame
+    model: PipelineModel
+    model_metrics: DataFrame
+    importances: DataFrame
+    scored: DataFrame
+    fraud_metrics: DataFrame
+    load: LoadResult
+    queries: list[QueryResult]
+
+
+def run_pipeline(
+    spark: SparkSession, raw: DataFrame, warehouse: str, output: str,
+    config: MatchConfig = MatchConfig(), params: model.ModelParams = model.ModelParams(),
+    threshold: float = FRAUD_THRESHOLD, now: datetime | None = None,
+    areas: DataFrame | None = None, types: DataFrame | None = None,
+) -> PipelineResult:
+    """Duplicates, clean set, model, out-of-fold scores, evaluation, load, queries, result files.
+
+    Duplicates and the cheap price flag come before training: the model may learn neither from one unit twice nor
+    from prices that look false. The model goes to ``output``/model, JSON records to folders next to it.
+    """
+    raw = materialize(raw, "raw")
+    found = find_duplicates(raw, config)
+    labelled = model.with_clusters(raw, found.members)
+    flags = materialize(evaluate.naive_price_flag(raw), "naive-flags")
+    clean = materialize(model.clean_training_set(raw, found.members, flags), "clean")
+
+    fitted = model.fit_price_model(clean, params)
+    model.save_model(fitted.model, f"{output}/model")
+    scored = materialize(model.score_out_of_fold(raw, clean, found.members, params=params), "scored")
+    loaded = load_batch(spark, warehouse, scored, found.members, threshold, now)
+    queries = run_all(loaded.warehouse)
+
+    duplicate_metrics = evaluate.pair_metrics(labelled)
+    fraud_metrics = evaluate.compare_fraud_methods(raw, scored, threshold)
+    transformed = fitted.model.transform(model.with_distance(raw))
+    importances = model.feature_importances(fitted.model, transformed)
+    feed = judge_feed(
+        sampling.systematic_sample(
+            model.predict(fitted.model, raw), [F.asc_nulls_last("listed_date"), F.col("listing_id")]
+        )
+    )
+    if areas is None:
+        areas = materialize(requests.area_table(raw), "areas")
+    if types is None:
+        types = materialize(requests.type_table(raw), "types")
+
+    records = {
+        "duplicate_metrics": duplicate_metrics,
+        "model_metrics": fitted.metrics,
+        "fraud_metrics": fraud_metrics,
+        "field_completeness": quality.field_completeness(raw),
+        "exact_duplicates": quality.exact_duplicates(raw),
+        "invalid_prices": quality.invalid_prices(raw),
+        "feature_importances": importances,
+        "warehouse_counts": table_counts(loaded.warehouse),
+        "etl_runs": loaded.warehouse.table("etl_runs"),
+        "fair_value_grid": requests.fair_value_grid(areas, types, fitted.model),
+        "test_predictions": fitted.heldout,
+        "live_feed": feed,
+        "cluster_members": review.review_members(raw, found),
+        "cluster_pairs": review.review_pairs(found),
+        "cluster_sample": review.cluster_sample(raw, found),
+        "flagged_listings": model.flagged_listings(scored, threshold),
+        **{f"query_{q.name}": q.rows for q in queries},
+    }
+    for name, rows in records.items():
+        write_records(rows, f"{output}/{name}")
+    return PipelineResult(found, duplicate_metrics, fitted.model, fitted.metrics, importances, scored,
+                          fraud_metrics, loaded, queries)

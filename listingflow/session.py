@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,26 +35,14 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a result feeds several jobs: it cuts the lineage, and unlike cached blocks the files outlive
-    the executors that wrote them.
+    the executors that wrote them. It also tells Spark the real size, so a later join broadcasts the table when
+    it is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise reads it through a shuffle of its own,
+    which AQE can split when a key is hot.
     """
     path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-# A table with at most this many rows is narrow enough (keys and a few numbers) to send to every executor.
-BROADCAST_ROW_LIMIT = 100_000
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Mark ``df`` for broadcast when a count shows at most ``limit`` rows; beyond that it is joined by shuffle.
-
-    ``df`` should be materialized, since the count reads it.
-    """
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

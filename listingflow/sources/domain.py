@@ -1,0 +1,45 @@
+"""The default domain tables: the areas and property types that requests and grids know.
+
+All values are fixed values; pass other tables to the operators for another market.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+# Area, latitude, longitude.
+AREAS = (
+    ("Dubai Marina", 25.0805, 55.1403),
+    ("Jumeirah Village Circle", 25.0575, 55.2093),
+    ("Business Bay", 25.1872, 55.2631),
+    ("Downtown Dubai", 25.1972, 55.2744),
+    ("Jumeirah Lake Towers", 25.0693, 55.1424),
+    ("Arabian Ranches", 25.0512, 55.2704),
+    ("Al Furjan", 25.0234, 55.1487),
+    ("Dubai Silicon Oasis", 25.1234, 55.3823),
+    ("Palm Jumeirah", 25.1124, 55.1390),
+    ("Dubai Sports City", 25.0453, 55.2178),
+    ("Mirdif", 25.2168, 55.4211),
+    ("Discovery Gardens", 25.0398, 55.1444),
+)
+
+# Type, default bedrooms, smallest and largest usual size in sqft, whether in a tower.
+PROPERTY_TYPES = (
+    ("Studio", 1, 380, 550, 1),
+    ("1BR Apartment", 2, 650, 950, 1),
+    ("2BR Apartment", 2, 950, 1400, 1),
+    ("3BR Apartment", 4, 1400, 2100, 1),
+    ("Townhouse", 4, 1800, 2600, 0),
+    ("Villa", 5, 2800, 5200, 0),
+)
+
+
+def default_areas(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(AREAS, "area string, lat double, lon double")
+
+
+def default_types(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        PROPERTY_TYPES,
+        "property_type string, default_bedrooms int, min_size int, max_size int, is_tower int",
+    )
