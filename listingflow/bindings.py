@@ -258,7 +258,7 @@ def _tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _with_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _listings(spark, sf_dir).withColumn("text", c.listing_text())
-    vectors = textweights.as_vectors(textweights.block_tfidf(rows, MatchConfig.block))
+    vectors = textweights.block_vectors(rows, MatchConfig.block)
     return textweights.cosine_pairs(gated_pairs(_listings(spark, sf_dir)), vectors)
 
 
@@ -289,7 +289,7 @@ def _cluster_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = review.cluster_sample(_listings(spark, sf_dir), _found(spark, sf_dir))
     return rows.select(
         "cluster_id", "n_members", "clusters_total", F.explode("members").alias("m"),
-        F.size("pair_scores").alias("n_pairs"),
+        F.size("pair_scores").cast("bigint").alias("n_pairs"),
     ).select("cluster_id", "n_members", "clusters_total", "n_pairs", "m.listing_id", "m.title", "m.price_aed_month")
 
 

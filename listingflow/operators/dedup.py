@@ -17,9 +17,7 @@ from listingflow.functions.columns import dbl, flat_distance, listing_text, rati
 from listingflow.functions.text import ENGLISH_STOP_WORDS, tokens
 from listingflow.operators.cells import join_on_cells, neighbour_cells, place, ratio_cell, reach
 from listingflow.operators.components import connected_components
-from listingflow.operators.textweights import (
-    as_vectors, cosine_pairs, document_counts, document_frequencies, term_weights,
-)
+from listingflow.operators.textweights import as_weights, cosine_pairs, inverse_frequencies, term_vectors
 from listingflow.session import materialize
 
 # Bounds on a text similarity are trusted only beyond this distance from the limit.
@@ -79,22 +77,19 @@ def comparable(df: DataFrame, config: MatchConfig) -> DataFrame:
     """
     text = listing_text()
     unplaced = _number("lat").isNull() | _number("lon").isNull()
+    numbers = {
+        "lat": F.when(~unplaced, _number("lat")), "lon": F.when(~unplaced, _number("lon")),
+        "price": _number("price_aed_month"), "size": _number("size_sqft"),
+    }
     # Without the rule that equal numbers match, rows are folded only if their texts are equal too.
     point_extra = [] if config.equal_numbers_match else [text]
-    numbers = [_number("lat"), _number("lon"), _number("price_aed_month"), _number("size_sqft")]
-    key = F.md5(F.to_json(F.array(*[F.col(c).cast("string") for c in config.block],
-                                  *[n.cast("string") for n in numbers], *point_extra)))
+    key = F.to_json(F.array(*[F.col(c).cast("string") for c in config.block],
+                            *[n.cast("string") for n in numbers.values()], *point_extra))
     return (
         df.dropna(subset=list(config.block))
         .select(
-            "listing_id", *config.block,
-            F.when(~unplaced, _number("lat")).alias("lat"),
-            F.when(~unplaced, _number("lon")).alias("lon"),
-            _number("price_aed_month").alias("price"),
-            _number("size_sqft").alias("size"),
-            F.md5(text).alias("text_key"),
-            (F.size(tokens(text, config.stop_words)) > 0).alias("has_tokens"),
-            key.alias("point_key"),
+            "listing_id", *config.block, *[n.alias(name) for name, n in numbers.items()],
+            F.md5(text).alias("text_key"), F.md5(key).alias("point_key"),
         )
         .where((F.col("price") != 0) & (F.col("size") != 0))
     )
@@ -102,7 +97,7 @@ def comparable(df: DataFrame, config: MatchConfig) -> DataFrame:
 
 @dataclass(frozen=True)
 class _Folded:
-    postings: DataFrame  # posting_id, copies, has_tokens, point_key, text_key and the compared numbers
+    postings: DataFrame  # posting_id, copies, point_key, text_key and the compared numbers
     points: DataFrame  # point_id, block columns, lat, lon, price, size, crowded
     crowd: DataFrame  # point_id, posting_id for points with several postings
 
@@ -111,7 +106,7 @@ def fold(rows: DataFrame, config: MatchConfig) -> _Folded:
     """Postings and points of the comparable rows; all counts combine before the shuffle."""
     spot = ["point_key", *config.block, "lat", "lon", "price", "size"]
     postings = materialize(
-        rows.groupBy(*spot, "text_key", "has_tokens").agg(
+        rows.groupBy(*spot, "text_key").agg(
             F.min("listing_id").alias("posting_id"), F.count(F.lit(1)).alias("copies")
         ),
         "postings",
@@ -240,11 +235,17 @@ def score_pairs(pairs: DataFrame, config: MatchConfig = MatchConfig()) -> DataFr
 def _crowded_pairs(gated: DataFrame, crowd: DataFrame, weights: DataFrame, config: MatchConfig) -> DataFrame:
     """Posting pairs to score for two points of which at least one has several texts.
 
-    Two such points need one matching pair to be linked, so their texts are not all compared. From the largest
-    weight of each token at either point follow a floor (best single token) and a ceiling (sum over tokens) of
-    the best similarity. A floor past the limit names its witness, a ceiling below it rules the points out, and
-    only what lies between is compared text by text.
+    Two such points need one matching pair to be linked, so their texts are not all compared. If their numbers
+    suffice, any pair will do. Else from the largest weight of each token at either point follow a floor (best
+    single token) and a ceiling (sum over tokens) of the best similarity: a floor past the limit names its
+    witness, a ceiling below it rules the points out, and only what lies between is compared text by text.
     """
+    posts = ["id_a", "id_b", "price_similarity", "size_similarity"]
+    numbers = (
+        dbl(config.price_weight) * F.col("price_similarity") + dbl(config.size_weight) * F.col("size_similarity")
+    )
+    settled = gated.where(numbers >= dbl(config.threshold)).select(*posts)
+    gated = gated.where(numbers < dbl(config.threshold))
     ends = gated.select(F.col("id_a").alias("point_id")).unionByName(gated.select(F.col("id_b").alias("point_id")))
     members = materialize(
         crowd.unionByName(
@@ -264,21 +265,18 @@ def _crowded_pairs(gated: DataFrame, crowd: DataFrame, weights: DataFrame, confi
     product = F.col("pa.weight") * F.col("pb.weight")
     bounds = (
         gated.join(a, "id_a").join(b, ["id_b", "token"])
-        .groupBy("id_a", "id_b", "price_similarity", "size_similarity")
+        .groupBy(*posts)
         .agg(
             F.sum(product).alias("ceiling"),
             F.max(F.struct(product.alias("floor"), F.col("pa.posting_id").alias("wa"),
                            F.col("pb.posting_id").alias("wb"))).alias("best"),
         )
     )
-    needed = (
-        dbl(config.threshold) - dbl(config.price_weight) * F.col("price_similarity")
-        - dbl(config.size_weight) * F.col("size_similarity")
-    ) / dbl(config.text_weight)
+    needed = (dbl(config.threshold) - numbers) / dbl(config.text_weight)
     judged = materialize(bounds.withColumn("needed", needed), "crowd-bounds")
     sure = F.col("best.floor") >= F.col("needed") + dbl(_BOUND_MARGIN)
     open_ = ~sure & (F.col("ceiling") >= F.col("needed") - dbl(_BOUND_MARGIN))
-    similarities = ["price_similarity", "size_similarity"]
+    similarities = posts[2:]
     witnessed = judged.where(sure).select(
         F.least("best.wa", "best.wb").alias("id_a"), F.greatest("best.wa", "best.wb").alias("id_b"), *similarities
     )
@@ -287,7 +285,7 @@ def _crowded_pairs(gated: DataFrame, crowd: DataFrame, weights: DataFrame, confi
     spelled = judged.where(open_).join(side_a, "id_a").join(side_b, "id_b").select(
         F.least("qa", "qb").alias("id_a"), F.greatest("qa", "qb").alias("id_b"), *similarities
     )
-    return witnessed.unionByName(spelled)
+    return settled.unionByName(witnessed).unionByName(spelled)
 
 
 def scored_pairs(df: DataFrame, folded: _Folded, gated: DataFrame, config: MatchConfig) -> DataFrame:
@@ -306,34 +304,34 @@ def scored_pairs(df: DataFrame, folded: _Folded, gated: DataFrame, config: Match
     )
     if crowded:
         wanted = wanted.unionByName(folded.crowd.select(F.col("posting_id").alias("listing_id")))
-    weights = materialize(
-        term_weights(
-            texts.join(wanted.distinct(), "listing_id", "left_semi"),
-            materialize(document_frequencies(texts, config.block, stop_words=config.stop_words), "doc-freq"),
-            document_counts(texts, config.block), config.block, stop_words=config.stop_words,
-        ),
-        "weights",
+    idf = inverse_frequencies(texts, config.block, stop_words=config.stop_words)
+    vectors = materialize(
+        term_vectors(texts.join(wanted.distinct(), "listing_id", "left_semi"), idf, config.block,
+                     stop_words=config.stop_words),
+        "vectors",
     )
     to_score = gated.select(*posts)
     if crowded:
         to_score = (
             gated.where("NOT crowded").select(*posts)
-            .unionByName(_crowded_pairs(gated.where("crowded"), folded.crowd, weights, config))
+            .unionByName(_crowded_pairs(gated.where("crowded"), folded.crowd, as_weights(vectors), config))
             .unionByName(within)
         )
-    vectors = materialize(as_vectors(weights), "vectors")
     return score_pairs(cosine_pairs(to_score, vectors), config)
 
 
-def copy_links(rows: DataFrame, folded: _Folded, config: MatchConfig) -> DataFrame:
+def copy_links(df: DataFrame, rows: DataFrame, folded: _Folded, config: MatchConfig) -> DataFrame:
     """Exact copies, each linked to the least id of its posting."""
+    copied = folded.postings.where("copies > 1").select("point_key", "text_key", "posting_id")
+    has_tokens = F.size(tokens(listing_text(), config.stop_words)) > 0
     score = (
-        dbl(config.text_weight) * F.when(F.col("has_tokens"), dbl(1)).otherwise(dbl(0))
+        dbl(config.text_weight) * F.when(has_tokens, dbl(1)).otherwise(dbl(0))
         + dbl(config.price_weight) + dbl(config.size_weight)
     )
+    scores = df.select(F.col("listing_id").alias("posting_id"), score.alias("exact"))
     heads = materialize(
-        folded.postings.where((F.col("copies") > 1) & (score >= dbl(config.threshold)))
-        .select("point_key", "text_key", "posting_id", F.bround(score, 4).alias("score")),
+        scores.join(copied, "posting_id").where(F.col("exact") >= dbl(config.threshold))
+        .select("point_key", "text_key", "posting_id", F.bround("exact", 4).alias("score")),
         "copied",
     )
     return (
@@ -368,9 +366,10 @@ def find_duplicates(df: DataFrame, config: MatchConfig = MatchConfig()) -> Dupli
     rows = comparable(df, config)
     folded = fold(rows, config)
     gated = materialize(gated_points(folded.points, config), "gated-pairs")
-    pairs = materialize(
-        scored_pairs(df, folded, gated, config).unionByName(copy_links(rows, folded, config)), "scored-pairs"
-    )
+    pairs = scored_pairs(df, folded, gated, config)
+    if not folded.postings.where("copies > 1").isEmpty():
+        pairs = pairs.unionByName(copy_links(df, rows, folded, config))
+    pairs = materialize(pairs, "scored-pairs")
     members, clusters = assign_clusters(connected_components(pairs))
     members = materialize(members, "members")
     return Duplicates(pairs, clusters, members)

@@ -9,69 +9,74 @@ from pyspark.sql import functions as F
 
 from listingflow.functions.columns import dbl
 from listingflow.functions.text import ENGLISH_STOP_WORDS, tokens
+from listingflow.session import materialize
 
 
 def _with_block(df: DataFrame, block: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(block))
 
 
-def document_counts(df: DataFrame, block: Sequence[str]) -> DataFrame:
-    """(block, n_docs): texts per block, rows with a null block key left out."""
-    return _with_block(df, block).groupBy(*block).agg(F.count(F.lit(1)).alias("n_docs"))
-
-
-def document_frequencies(
+def inverse_frequencies(
     df: DataFrame, block: Sequence[str], text: str = "text", stop_words: Sequence[str] = ENGLISH_STOP_WORDS
 ) -> DataFrame:
-    """(block, token, doc_freq). Repeats inside a text go before the shuffle, and counts combine map-side."""
-    return (
-        _with_block(df, block)
-        .select(*block, F.explode(F.array_distinct(tokens(F.col(text), stop_words))).alias("token"))
+    """(block, token, idf), smoothed, with texts and documents counted inside each block.
+
+    Repeats inside a text go before the shuffle, and counts combine map-side, so a token that every text of a large
+    block holds is still one small row per task. The result is written: joins see its size, and a plain shuffle.
+    """
+    rows = _with_block(df, block)
+    documents = materialize(rows.groupBy(*block).agg(F.count(F.lit(1)).alias("n_docs")), "block-sizes")
+    frequencies = (
+        rows.select(*block, F.explode(F.array_distinct(tokens(F.col(text), stop_words))).alias("token"))
         .groupBy(*block, "token")
         .agg(F.count(F.lit(1)).alias("doc_freq"))
     )
+    idf = F.ln((dbl(1) + F.col("n_docs")) / (dbl(1) + F.col("doc_freq"))) + dbl(1)
+    return materialize(
+        frequencies.join(documents, list(block)).select(*block, "token", idf.alias("idf")), "idf"
+    )
 
 
-def term_weights(
-    df: DataFrame, frequencies: DataFrame, counts: DataFrame, block: Sequence[str],
-    text: str = "text", key: str = "listing_id", stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
+def term_vectors(
+    df: DataFrame, idf: DataFrame, block: Sequence[str], text: str = "text", key: str = "listing_id",
+    stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
 ) -> DataFrame:
-    """(key, token, weight): L2-normalised term count times smoothed inverse document frequency."""
+    """(key, vector): per text a map of token to L2-normalised term count times inverse document frequency."""
     terms = (
         _with_block(df, block)
         .select(key, *block, F.explode(tokens(F.col(text), stop_words)).alias("token"))
         .groupBy(key, *block, "token")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    idf = F.ln((dbl(1) + F.col("n_docs")) / (dbl(1) + F.col("doc_freq"))) + dbl(1)
-    raw = (
-        terms.join(frequencies, [*block, "token"])
-        .join(counts, list(block))
-        .select(key, "token", (F.col("tf") * idf).alias("weight"))
-    )
+    raw = terms.join(idf, [*block, "token"]).select(key, "token", (F.col("tf") * F.col("idf")).alias("weight"))
     # One text's distinct tokens are gathered per key; sorting makes the sum of squares repeatable.
-    entries = F.array_sort(F.collect_list(F.struct("token", "weight")))
-    vectors = raw.groupBy(key).agg(entries.alias("entries"))
-    norm = F.sqrt(F.aggregate("entries", dbl(0), lambda acc, e: acc + e["weight"] * e["weight"]))
-    return vectors.select(key, norm.alias("norm"), F.explode("entries").alias("entry")).select(
-        key, F.col("entry.token").alias("token"), (F.col("entry.weight") / F.col("norm")).alias("weight")
+    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("token", "weight"))))
+    raw_vectors = raw.groupBy(key).agg(entries.alias("raw"))
+    norm = F.sqrt(F.aggregate(F.map_values("raw"), dbl(0), lambda acc, w: acc + w * w))
+    return raw_vectors.withColumn("norm", norm).select(
+        key, F.transform_values("raw", lambda _, w: w / F.col("norm")).alias("vector")
     )
 
 
-def block_tfidf(
+def block_vectors(
     df: DataFrame, block: Sequence[str], text: str = "text", key: str = "listing_id",
     stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
 ) -> DataFrame:
-    """(key, token, weight) with document counts and frequencies taken inside each block."""
-    return term_weights(
-        df, document_frequencies(df, block, text, stop_words), document_counts(df, block), block, text, key, stop_words
-    )
+    """(key, vector) with document counts and frequencies taken inside each block."""
+    return term_vectors(df, inverse_frequencies(df, block, text, stop_words), block, text, key, stop_words)
+
+
+def as_weights(vectors: DataFrame, key: str = "listing_id") -> DataFrame:
+    """(key, token, weight): the vectors as rows."""
+    return vectors.select(key, F.explode("vector").alias("token", "weight"))
 
 
-def as_vectors(weights: DataFrame, key: str = "listing_id") -> DataFrame:
-    """(key, vector): one map of token to weight per text."""
-    entries = F.array_sort(F.collect_list(F.struct("token", "weight")))
-    return weights.groupBy(key).agg(F.map_from_entries(entries).alias("vector"))
+def block_tfidf(
+    df: DataFrame, block: Sequence[str], text: str = "text", key: str = "listing_id",
+    stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
+) -> DataFrame:
+    """(key, token, weight): block-local TF-IDF weights of every text."""
+    return as_weights(block_vectors(df, block, text, key, stop_words), key)
 
 
 def cosine_pairs(pairs: DataFrame, vectors: DataFrame, key: str = "listing_id") -> DataFrame:
