@@ -539,16 +539,12 @@ def _latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.latency_summary(fx.table(spark, sf_dir, "events"), "value")
 
 
-def _on_listings(*cols: Column) -> Query:
-    return lambda spark, sf_dir: _listings(spark, sf_dir).select("listing_id", *cols)
-
-
-def _on_scored(*cols: Column) -> Query:
-    return lambda spark, sf_dir: _scored(spark, sf_dir).select("listing_id", *cols)
+def _on(rows: Query, name: str, column: Callable[[], Column]) -> Query:
+    """One column next to the id; the column is built when the query runs, since that needs a session."""
+    return lambda spark, sf_dir: rows(spark, sf_dir).select("listing_id", column().alias(name))
 
 
 def queries() -> dict[str, Query]:
-    price = c.ratio_similarity("price_aed_month", "predicted_price_aed_month")
     return {
         # sources and sinks
         "read_listings": _read_listings,
@@ -558,10 +554,11 @@ def queries() -> dict[str, Query]:
         "write_records": _write_records,
         "run_all": _run_all,
         # projections
-        "listing_text": _on_listings(c.listing_text().alias("text")),
+        "listing_text": _on(_listings, "text", c.listing_text),
         "flat_distance": _flat_distance,
-        "distance_to_center_km": _on_listings(c.distance_to_center_km().alias("distance_to_center_km")),
-        "ratio_similarity": _on_scored(_r(price).alias("similarity")),
+        "distance_to_center_km": _on(_listings, "distance_to_center_km", c.distance_to_center_km),
+        "ratio_similarity": _on(_scored, "similarity", lambda: _r(
+            c.ratio_similarity("price_aed_month", "predicted_price_aed_month"))),
         "date_parts": _date_parts,
         "month_label": _month_label,
         "row_hash": _row_hash,
@@ -570,13 +567,13 @@ def queries() -> dict[str, Query]:
             _members(_scored(spark, sf_dir)),
         ).select("listing_id", F.coalesce("dup_cluster_id", F.lit("")).alias("dup_cluster_id"), "is_duplicate",
                  "is_flagged_fraud"),
-        "price_band": _on_scored(c.price_band().alias("band")),
-        "annual_price_per_sqft": _on_listings(_r(c.annual_price_per_sqft()).alias("psf")),
+        "price_band": _on(_scored, "band", c.price_band),
+        "annual_price_per_sqft": _on(_listings, "psf", lambda: _r(c.annual_price_per_sqft())),
         "project_review_fields": lambda spark, sf_dir: c.project_review_fields(
             _listings(spark, sf_dir)).withColumn("listed_date", _text("listed_date")),
         "add_residuals": _add_residuals,
         "nan_to_null": _nan_to_null,
-        "unit_key": _on_scored(c.unit_key().alias("unit")),
+        "unit_key": _on(_scored, "unit", c.unit_key),
         # duplicate detection
         "candidate_pairs": _block_sizes,
         "geo_gate": _gates(min_price_similarity=None, min_size_similarity=None),

@@ -48,9 +48,12 @@ def with_distance(df: DataFrame) -> DataFrame:
 
 
 def with_clusters(df: DataFrame, members: DataFrame | None) -> DataFrame:
-    """Attach ``dup_cluster_id`` from (listing_id, dup_cluster_id); rows outside any cluster get null."""
+    """Attach ``dup_cluster_id`` from (listing_id, dup_cluster_id); rows outside any cluster get null.
+
+    Without ``members`` the column stays as it is, or is null where there is none.
+    """
     if members is None:
-        return df
+        return df if "dup_cluster_id" in df.columns else df.withColumn("dup_cluster_id", F.lit(None).cast("string"))
     return df.drop("dup_cluster_id").join(members.select("listing_id", "dup_cluster_id"), "listing_id", "left")
 
 
