@@ -9,7 +9,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingflow import fixtures as fx
@@ -266,14 +266,8 @@ def _cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_similarity(spark, sf_dir).select("id_a", "id_b", _r("text_similarity").alias("text_similarity"))
 
 
-def _truth_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chains, not stars: each posting with the one before it in its unit."""
-    before = F.lag("listing_id").over(Window.partitionBy("dup_group_truth").orderBy("listing_id"))
-    return _listings(spark, sf_dir).select(F.col("listing_id").alias("id_b"), before.alias("id_a")).dropna()
-
-
 def _assign_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members, clusters = assign_clusters(connected_components(_truth_edges(spark, sf_dir)))
+    members, clusters = assign_clusters(connected_components(_found(spark, sf_dir).pairs))
     return members.join(clusters, F.col("dup_cluster_id") == F.col("cluster_id")).select(
         "listing_id", "cluster_id", "n_members", "first_id", "last_id"
     )
@@ -582,7 +576,7 @@ def queries() -> dict[str, Query]:
         "block_tfidf": _tfidf,
         "cosine_pairs": _cosine,
         "score_pairs": lambda spark, sf_dir: score_pairs(_with_similarity(spark, sf_dir)),
-        "connected_components": lambda spark, sf_dir: connected_components(_truth_edges(spark, sf_dir)),
+        "connected_components": lambda spark, sf_dir: connected_components(_found(spark, sf_dir).pairs),
         "assign_clusters": _assign_clusters,
         "find_duplicates_pairs": lambda spark, sf_dir: _found(spark, sf_dir).pairs,
         "find_duplicates_map": lambda spark, sf_dir: _found(spark, sf_dir).members,

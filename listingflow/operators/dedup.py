@@ -247,10 +247,11 @@ def _crowded_pairs(gated: DataFrame, crowd: DataFrame, weights: DataFrame, confi
     settled = gated.where(numbers >= dbl(config.threshold)).select(*posts)
     gated = gated.where(numbers < dbl(config.threshold))
     ends = gated.select(F.col("id_a").alias("point_id")).unionByName(gated.select(F.col("id_b").alias("point_id")))
+    ends = materialize(ends.distinct(), "crowd-ends")
     members = materialize(
-        crowd.unionByName(
-            ends.distinct().join(crowd, "point_id", "left_anti").select("point_id", F.col("point_id").alias("posting_id"))
-        ).join(ends.distinct(), "point_id", "left_semi"),
+        crowd.join(ends, "point_id", "left_semi").unionByName(
+            ends.join(crowd, "point_id", "left_anti").select("point_id", F.col("point_id").alias("posting_id"))
+        ),
         "crowd-members",
     )
     peaks = materialize(
@@ -323,14 +324,14 @@ def scored_pairs(df: DataFrame, folded: _Folded, gated: DataFrame, config: Match
 def copy_links(df: DataFrame, rows: DataFrame, folded: _Folded, config: MatchConfig) -> DataFrame:
     """Exact copies, each linked to the least id of its posting."""
     copied = folded.postings.where("copies > 1").select("point_key", "text_key", "posting_id")
+    texts = df.select(F.col("listing_id").alias("posting_id"), "title", "description")
     has_tokens = F.size(tokens(listing_text(), config.stop_words)) > 0
     score = (
         dbl(config.text_weight) * F.when(has_tokens, dbl(1)).otherwise(dbl(0))
         + dbl(config.price_weight) + dbl(config.size_weight)
     )
-    scores = df.select(F.col("listing_id").alias("posting_id"), score.alias("exact"))
     heads = materialize(
-        scores.join(copied, "posting_id").where(F.col("exact") >= dbl(config.threshold))
+        texts.join(copied, "posting_id").withColumn("exact", score).where(F.col("exact") >= dbl(config.threshold))
         .select("point_key", "text_key", "posting_id", F.bround("exact", 4).alias("score")),
         "copied",
     )
@@ -342,6 +343,13 @@ def copy_links(df: DataFrame, rows: DataFrame, folded: _Folded, config: MatchCon
     )
 
 
+def cluster_table(members: DataFrame) -> DataFrame:
+    """(cluster_id, n_members, first_id, last_id) of each cluster."""
+    return members.groupBy(F.col("dup_cluster_id").alias("cluster_id")).agg(
+        F.count(F.lit(1)).alias("n_members"), F.min("listing_id").alias("first_id"), F.max("listing_id").alias("last_id")
+    )
+
+
 def assign_clusters(components: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members, clusters) from (id, component): a cluster is named after its least member.
 
@@ -351,10 +359,7 @@ def assign_clusters(components: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("id").alias("listing_id"),
         F.concat(F.lit("cluster_"), F.col("component").cast("string")).alias("dup_cluster_id"),
     )
-    clusters = members.groupBy(F.col("dup_cluster_id").alias("cluster_id")).agg(
-        F.count(F.lit(1)).alias("n_members"), F.min("listing_id").alias("first_id"), F.max("listing_id").alias("last_id")
-    )
-    return members, clusters
+    return members, cluster_table(members)
 
 
 def find_duplicates(df: DataFrame, config: MatchConfig = MatchConfig()) -> Duplicates:
@@ -370,6 +375,6 @@ def find_duplicates(df: DataFrame, config: MatchConfig = MatchConfig()) -> Dupli
     if not folded.postings.where("copies > 1").isEmpty():
         pairs = pairs.unionByName(copy_links(df, rows, folded, config))
     pairs = materialize(pairs, "scored-pairs")
-    members, clusters = assign_clusters(connected_components(pairs))
+    members, _ = assign_clusters(connected_components(pairs))
     members = materialize(members, "members")
-    return Duplicates(pairs, clusters, members)
+    return Duplicates(pairs, materialize(cluster_table(members), "clusters"), members)

@@ -60,19 +60,24 @@ def with_clusters(df: DataFrame, members: DataFrame | None) -> DataFrame:
 def clean_training_set(df: DataFrame, members: DataFrame | None, flags: DataFrame) -> DataFrame:
     """Unflagged listings, one per unit: the earliest, ties by id. Flagged rows go before the earliest is chosen.
 
-    Only clustered rows can share a unit, so the others skip the shuffle; the rank limit is applied per task
-    before the clustered ones are exchanged.
+    What to leave out is worked out on ids and dates of clustered rows only; the rank limit is applied per task
+    before they are exchanged, so a large cluster is cut down to one row per task first. The full rows are joined
+    on their id alone.
     """
-    flagged = flags.where(F.col("flag") == 1).select("listing_id")
-    kept = with_clusters(df, members).join(flagged, "listing_id", "left_anti")
-    first = Window.partitionBy("dup_cluster_id").orderBy(F.asc_nulls_last("listed_date"), "listing_id")
-    earliest = (
-        kept.where(F.col("dup_cluster_id").isNotNull())
-        .withColumn("_nth", F.row_number().over(first))
-        .where(F.col("_nth") == 1)
-        .drop("_nth")
+    flagged = materialize(flags.where(F.col("flag") == 1).select("listing_id"), "flagged")
+    rows = with_clusters(df, members)
+    if members is None:
+        members = rows.where(F.col("dup_cluster_id").isNotNull())
+    clustered = materialize(
+        df.select("listing_id", "listed_date")
+        .join(members.select("listing_id", "dup_cluster_id"), "listing_id")
+        .join(flagged, "listing_id", "left_anti"),
+        "clustered",
     )
-    return kept.where(F.col("dup_cluster_id").isNull()).unionByName(earliest)
+    first = Window.partitionBy("dup_cluster_id").orderBy(F.asc_nulls_last("listed_date"), "listing_id")
+    earliest = clustered.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("listing_id")
+    later = clustered.select("listing_id").join(earliest, "listing_id", "left_anti")
+    return rows.join(materialize(flagged.unionByName(later), "left-out"), "listing_id", "left_anti")
 
 
 def train_test_split(df: DataFrame, test_share: float = 0.2, seed: int = SEED) -> tuple[DataFrame, DataFrame]:

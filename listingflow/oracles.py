@@ -98,13 +98,6 @@ clusters AS (
   SELECT dup_cluster_id AS cluster_id, COUNT(*) AS n_members, MIN(listing_id) AS first_id, MAX(listing_id) AS last_id
   FROM members GROUP BY dup_cluster_id)"""
 
-_CHAIN = """
-chain AS (
-  SELECT id_a, id_b FROM (
-    SELECT listing_id AS id_b, LAG(listing_id) OVER (PARTITION BY dup_group_truth ORDER BY listing_id) AS id_a
-    FROM listings)
-  WHERE id_a IS NOT NULL)"""
-
 _AREAS = """
 areas AS (SELECT area, ROUND(AVG(lat), 4) AS lat, ROUND(AVG(lon), 4) AS lon FROM listings GROUP BY area)"""
 _TYPES = """
@@ -311,12 +304,10 @@ SELECT id_a, id_b, ROUND(psim, 4) AS price_similarity, ROUND(ssim, 4) AS size_si
         "cosine_pairs": _listings(
             "SELECT id_a, id_b, ROUND(tsim, 4) AS text_similarity FROM likened", _SIMILAR),
         "score_pairs": _listings("SELECT id_a, id_b, ROUND(score, 4) AS score FROM matched", _SIMILAR),
-        "connected_components": _listings("SELECT id, component FROM components", _CHAIN, _components("chain")),
+        "connected_components": _listings("SELECT id, component FROM components", _CLUSTERS),
         "assign_clusters": _listings("""
-SELECT l.listing_id, 'cluster_' || CAST(g.first_id AS VARCHAR) AS cluster_id, g.n_members, g.first_id, g.last_id
-FROM listings l JOIN (
-  SELECT dup_group_truth, COUNT(*) AS n_members, MIN(listing_id) AS first_id, MAX(listing_id) AS last_id
-  FROM listings GROUP BY dup_group_truth HAVING COUNT(*) > 1) g USING (dup_group_truth)"""),
+SELECT m.listing_id, c.cluster_id, c.n_members, c.first_id, c.last_id
+FROM members m JOIN clusters c ON c.cluster_id = m.dup_cluster_id""", _CLUSTERS),
         "find_duplicates_pairs": _listings("SELECT id_a, id_b, ROUND(score, 4) AS score FROM matched", _SIMILAR),
         "find_duplicates_map": _listings("SELECT listing_id, dup_cluster_id FROM members", _CLUSTERS),
         "cluster_review_members": _listings("""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -22,6 +23,7 @@ MEMBER_DIMENSIONS = (
     ("dim_property_type", "property_type_id", "property_type", "property_type"),
     ("dim_agent", "agent_id", "agent_name", "agent_name"),
 )
+DIMENSIONS = ("dim_area", "dim_property_type", "dim_agent", "dim_date")
 REQUIRED = ("listing_id", "area", "property_type", "agent_name", "listed_date")
 DESCRIPTIVE = (
     "title", "bedrooms", "size_sqft", "furnished", "building_age_years", "floor", "price_aed_month",
@@ -86,26 +88,47 @@ def split_batch(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def upsert_dimension(dim: DataFrame, staged: DataFrame, id_column: str, key: str, source: str) -> DataFrame:
-    """Members of ``dim`` keep their ids; new natural keys follow in key order."""
-    new = (
-        staged.where(F.col(source).isNotNull()).select(F.col(source).alias(key)).distinct()
-        .join(dim, key, "left_anti")
+def new_members(dims: Mapping[str, DataFrame], staged: DataFrame) -> DataFrame:
+    """(dimension, member, nth): natural keys of the batch that no dimension knows yet, numbered per dimension.
+
+    All dimensions are read off in one pass over the batch; the numbering sorts by range, not in one task.
+    """
+    found = staged.select(F.explode(F.array(
+        *[F.struct(F.lit(name).alias("dimension"), F.col(source).alias("member"))
+          for name, _, _, source in MEMBER_DIMENSIONS],
+        F.struct(F.lit("dim_date").alias("dimension"), F.col("listed_date").cast("string").alias("member")),
+    )).alias("m")).select("m.*").where(F.col("member").isNotNull()).distinct()
+    known = dims["dim_date"].select(F.lit("dim_date").alias("dimension"), F.col("full_date").cast("string").alias("member"))
+    for name, _, key, _ in MEMBER_DIMENSIONS:
+        known = known.unionByName(dims[name].select(F.lit(name).alias("dimension"), F.col(key).alias("member")))
+    order = [F.col("dimension"), F.col("member")]
+    indexed = materialize(
+        with_row_index(found.join(known, ["dimension", "member"], "left_anti"), order), "new-members"
+    )
+    starts = indexed.groupBy("dimension").agg(F.min("row_index").alias("start"))  # one row per dimension
+    return indexed.join(F.broadcast(starts), "dimension").select(
+        "dimension", "member", (F.col("row_index") - F.col("start") + 1).alias("nth")
     )
-    last = dim.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint").alias("last")).first()["last"]
-    numbered = with_row_index(new, [F.col(key)], "_n")
-    return dim.unionByName(numbered.select((F.col("_n") + 1 + last).alias(id_column), key))
 
 
-def upsert_date_dimension(dim: DataFrame, staged: DataFrame) -> DataFrame:
-    """New dates with year, month, day; the id is the date as yyyymmdd, so ids order like dates."""
-    new = (
-        staged.where(F.col("listed_date").isNotNull()).select(F.col("listed_date").alias("full_date")).distinct()
-        .join(dim, "full_date", "left_anti")
-    )
-    rows = new.select(date_key("full_date").alias("date_id"), "full_date",
-                      *[c.alias(n) for n, c in date_parts("full_date").items()])
-    return dim.unionByName(rows)
+def upsert_dimensions(dims: Mapping[str, DataFrame], staged: DataFrame) -> dict[str, DataFrame]:
+    """The dimensions with the batch's new members. Known members keep their ids, new ones follow in key order.
+
+    A date's id is the date as yyyymmdd, so ids order like dates.
+    """
+    new = new_members(dims, staged)
+    grown = {}
+    for name, id_column, key, _ in MEMBER_DIMENSIONS:
+        last = dims[name].agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint").alias("last")).scalar()
+        grown[name] = dims[name].unionByName(new.where(F.col("dimension") == name).select(
+            (F.col("nth") + last).alias(id_column), F.col("member").alias(key)
+        ))
+    dates = new.where(F.col("dimension") == "dim_date").select(F.col("member").cast("date").alias("full_date"))
+    grown["dim_date"] = dims["dim_date"].unionByName(dates.select(
+        date_key("full_date").alias("date_id"), "full_date",
+        *[c.alias(n) for n, c in date_parts("full_date").items()],
+    ))
+    return grown
 
 
 def resolve_keys(accepted: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
@@ -189,11 +212,11 @@ def load_batch(
     accepted, rejected = split_batch(materialize(build_staging(scored, members, threshold), "staging"))
     rejected = materialize(rejected, "rejected")
 
-    dims = {}
-    for name, id_column, key, source in MEMBER_DIMENSIONS:
-        grown = upsert_dimension(old.table(name), accepted, id_column, key, source)
-        dims[name] = write_table(spark, path, version, name, grown)
-    write_table(spark, path, version, "dim_date", upsert_date_dimension(old.table("dim_date"), accepted))
+    grown = upsert_dimensions({name: old.table(name) for name in DIMENSIONS}, accepted)
+    with ThreadPoolExecutor(len(grown)) as pool:  # independent small writes
+        dims = dict(zip(grown, pool.map(
+            lambda name: write_table(spark, path, version, name, grown[name]), grown
+        )))
 
     # The counts come from the very rows that are written.
     changes = Observation()

@@ -31,8 +31,8 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, below the application's id so that a finished run can be expired."""
+    return f"{shared_root(spark)}/listingflow/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
