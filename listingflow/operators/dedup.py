@@ -218,34 +218,34 @@ def gated_pairs(df: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame
     return gated_points(fold(comparable(df, config), config).points, config).drop("crowded")
 
 
-def score_pairs(pairs: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
-    """Weighted vote of text, price and size; kept on the exact score, reported to 4 digits."""
-    score = (
+def _with_score(pairs: DataFrame, config: MatchConfig) -> DataFrame:
+    return pairs.withColumn(
+        "exact_score",
         dbl(config.text_weight) * F.col("text_similarity")
         + dbl(config.price_weight) * F.col("price_similarity")
-        + dbl(config.size_weight) * F.col("size_similarity")
+        + dbl(config.size_weight) * F.col("size_similarity"),
     )
-    return (
-        pairs.withColumn("_score", score)
-        .where(F.col("_score") >= dbl(config.threshold))
-        .select("id_a", "id_b", F.bround("_score", 4).alias("score"))
+
+
+def _matching(scored: DataFrame, config: MatchConfig) -> DataFrame:
+    return scored.where(F.col("exact_score") >= dbl(config.threshold)).select(
+        "id_a", "id_b", F.bround("exact_score", 4).alias("score")
     )
 
 
+def score_pairs(pairs: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
+    """Weighted vote of text, price and size; kept on the exact score, reported to 4 digits."""
+    return _matching(_with_score(pairs, config), config)
+
+
 def _crowded_pairs(gated: DataFrame, crowd: DataFrame, weights: DataFrame, config: MatchConfig) -> DataFrame:
     """Posting pairs to score for two points of which at least one has several texts.
 
-    Two such points need one matching pair to be linked, so their texts are not all compared. If their numbers
-    suffice, any pair will do. Else from the largest weight of each token at either point follow a floor (best
-    single token) and a ceiling (sum over tokens) of the best similarity: a floor past the limit names its
-    witness, a ceiling below it rules the points out, and only what lies between is compared text by text.
+    Two such points need one matching pair to be linked, so their texts are not all compared. From the largest
+    weight of each token at either point follow a floor (best single token) and a ceiling (sum over tokens) of
+    the best similarity: a floor past the limit names its witness, a ceiling below it rules the points out, and
+    only what lies between is compared text by text.
     """
-    posts = ["id_a", "id_b", "price_similarity", "size_similarity"]
-    numbers = (
-        dbl(config.price_weight) * F.col("price_similarity") + dbl(config.size_weight) * F.col("size_similarity")
-    )
-    settled = gated.where(numbers >= dbl(config.threshold)).select(*posts)
-    gated = gated.where(numbers < dbl(config.threshold))
     ends = gated.select(F.col("id_a").alias("point_id")).unionByName(gated.select(F.col("id_b").alias("point_id")))
     ends = materialize(ends.distinct(), "crowd-ends")
     members = materialize(
@@ -264,20 +264,23 @@ def _crowded_pairs(gated: DataFrame, crowd: DataFrame, weights: DataFrame, confi
     a = peaks.select(F.col("point_id").alias("id_a"), "token", F.col("peak").alias("pa"))
     b = peaks.select(F.col("point_id").alias("id_b"), "token", F.col("peak").alias("pb"))
     product = F.col("pa.weight") * F.col("pb.weight")
+    similarities = ["price_similarity", "size_similarity"]
     bounds = (
         gated.join(a, "id_a").join(b, ["id_b", "token"])
-        .groupBy(*posts)
+        .groupBy("id_a", "id_b", *similarities)
         .agg(
             F.sum(product).alias("ceiling"),
             F.max(F.struct(product.alias("floor"), F.col("pa.posting_id").alias("wa"),
                            F.col("pb.posting_id").alias("wb"))).alias("best"),
         )
     )
-    needed = (dbl(config.threshold) - numbers) / dbl(config.text_weight)
+    needed = (
+        dbl(config.threshold) - dbl(config.price_weight) * F.col("price_similarity")
+        - dbl(config.size_weight) * F.col("size_similarity")
+    ) / dbl(config.text_weight)
     judged = materialize(bounds.withColumn("needed", needed), "crowd-bounds")
     sure = F.col("best.floor") >= F.col("needed") + dbl(_BOUND_MARGIN)
     open_ = ~sure & (F.col("ceiling") >= F.col("needed") - dbl(_BOUND_MARGIN))
-    similarities = posts[2:]
     witnessed = judged.where(sure).select(
         F.least("best.wa", "best.wb").alias("id_a"), F.greatest("best.wa", "best.wb").alias("id_b"), *similarities
     )
@@ -286,18 +289,12 @@ def _crowded_pairs(gated: DataFrame, crowd: DataFrame, weights: DataFrame, confi
     spelled = judged.where(open_).join(side_a, "id_a").join(side_b, "id_b").select(
         F.least("qa", "qb").alias("id_a"), F.greatest("qa", "qb").alias("id_b"), *similarities
     )
-    return settled.unionByName(witnessed).unionByName(spelled)
+    return witnessed.unionByName(spelled)
 
 
 def scored_pairs(df: DataFrame, folded: _Folded, gated: DataFrame, config: MatchConfig) -> DataFrame:
     """Scored posting pairs: across points from ``gated``, and each posting of a point with the point's first."""
-    posts = ["id_a", "id_b", "price_similarity", "size_similarity"]
-    within = folded.crowd.where("posting_id <> point_id").select(
-        F.col("point_id").alias("id_a"), F.col("posting_id").alias("id_b"),
-        dbl(1).alias("price_similarity"), dbl(1).alias("size_similarity"),
-    )
     crowded = not folded.crowd.isEmpty()
-
     # Text weights only for postings that are in a pair; counts and frequencies from every text of the block.
     texts = df.select("listing_id", *config.block, listing_text().alias("text"))
     wanted = gated.select(F.col("id_a").alias("listing_id")).unionByName(
@@ -311,14 +308,20 @@ def scored_pairs(df: DataFrame, folded: _Folded, gated: DataFrame, config: Match
                      stop_words=config.stop_words),
         "vectors",
     )
-    to_score = gated.select(*posts)
-    if crowded:
-        to_score = (
-            gated.where("NOT crowded").select(*posts)
-            .unionByName(_crowded_pairs(gated.where("crowded"), folded.crowd, as_weights(vectors), config))
-            .unionByName(within)
-        )
-    return score_pairs(cosine_pairs(to_score, vectors), config)
+    # A point's first posting speaks for it; that settles all points with one text, and most others.
+    first = _with_score(cosine_pairs(gated, vectors), config)
+    if not crowded:
+        return _matching(first, config)
+    first = materialize(first, "first-scores")
+    unsettled = first.where(F.col("crowded") & (F.col("exact_score") < dbl(config.threshold))).select(
+        "id_a", "id_b", "price_similarity", "size_similarity"
+    )
+    within = folded.crowd.where("posting_id <> point_id").select(
+        F.col("point_id").alias("id_a"), F.col("posting_id").alias("id_b"),
+        dbl(1).alias("price_similarity"), dbl(1).alias("size_similarity"),
+    )
+    rest = _crowded_pairs(unsettled, folded.crowd, as_weights(vectors), config).unionByName(within)
+    return _matching(first, config).unionByName(score_pairs(cosine_pairs(rest, vectors), config))
 
 
 def copy_links(df: DataFrame, rows: DataFrame, folded: _Folded, config: MatchConfig) -> DataFrame:
