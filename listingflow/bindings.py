@@ -245,8 +245,8 @@ def _block_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _gates(**open_gates) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return gated_pairs(_listings(spark, sf_dir), MatchConfig(**open_gates)).select(
-            "id_a", "id_b", _r("price_similarity").alias("price_similarity"),
-            _r("size_similarity").alias("size_similarity"),
+            "id_a", "id_b", _r("price_similarity", 6).alias("price_similarity"),
+            _r("size_similarity", 6).alias("size_similarity"),
         )
     return run
 
@@ -256,6 +256,12 @@ def _tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textweights.block_tfidf(rows, MatchConfig.block).withColumn("weight", _r("weight"))
 
 
+def _tfidf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long texts in several languages, weighted inside each language."""
+    rows = fx.table(spark, sf_dir, "documents")
+    return textweights.block_tfidf(rows, ["lang"], key="doc_id").withColumn("weight", _r("weight"))
+
+
 def _with_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _listings(spark, sf_dir).withColumn("text", c.listing_text())
     vectors = textweights.block_vectors(rows, MatchConfig.block)
@@ -552,7 +558,7 @@ def queries() -> dict[str, Query]:
         "flat_distance": _flat_distance,
         "distance_to_center_km": _on(_listings, "distance_to_center_km", c.distance_to_center_km),
         "ratio_similarity": _on(_scored, "similarity", lambda: _r(
-            c.ratio_similarity("price_aed_month", "predicted_price_aed_month"))),
+            c.ratio_similarity("price_aed_month", "predicted_price_aed_month"), 6)),
         "date_parts": _date_parts,
         "month_label": _month_label,
         "row_hash": _row_hash,
@@ -574,6 +580,7 @@ def queries() -> dict[str, Query]:
         "price_gate": _gates(min_size_similarity=None),
         "size_gate": _gates(),
         "block_tfidf": _tfidf,
+        "block_tfidf_documents": _tfidf_documents,
         "cosine_pairs": _cosine,
         "score_pairs": lambda spark, sf_dir: score_pairs(_with_similarity(spark, sf_dir)),
         "connected_components": lambda spark, sf_dir: connected_components(_found(spark, sf_dir).pairs),

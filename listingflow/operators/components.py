@@ -60,7 +60,11 @@ def connected_components(edges: DataFrame, a: str = "id_a", b: str = "id_b") ->
         edges.select(high.alias("child"), low.alias("parent")).where("child > parent").distinct(), "edges"
     )
     while not _is_star_forest(state):
-        state = materialize(_small_star(materialize(_large_star(state), "large-star-edges")), "small-star-edges")
+        # Groups in which all know all, the common case, are stars after the first half of the round.
+        state = materialize(_large_star(state), "large-star-edges")
+        if _is_star_forest(state):
+            break
+        state = materialize(_small_star(state), "small-star-edges")
     roots = state.select(F.col("parent").alias("id")).distinct()
     return state.select(F.col("child").alias("id"), F.col("parent").alias("component")).unionByName(
         roots.select("id", F.col("id").alias("component"))

@@ -8,6 +8,7 @@ least id, and only points meet each other, so a group of copies costs its size a
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -99,7 +100,7 @@ def comparable(df: DataFrame, config: MatchConfig) -> DataFrame:
 class _Folded:
     postings: DataFrame  # posting_id, copies, point_key, text_key and the compared numbers
     points: DataFrame  # point_id, block columns, lat, lon, price, size, crowded
-    crowd: DataFrame  # point_id, posting_id for points with several postings
+    crowd: DataFrame | None  # point_id, posting_id for points with several postings; None without such points
 
 
 def fold(rows: DataFrame, config: MatchConfig) -> _Folded:
@@ -117,12 +118,14 @@ def fold(rows: DataFrame, config: MatchConfig) -> _Folded:
         ),
         "points",
     )
-    crowd = materialize(
-        points.where("crowded").select("point_key", "point_id")
-        .join(postings.select("point_key", "posting_id"), "point_key")
-        .select("point_id", "posting_id"),
-        "crowd",
-    )
+    crowd = None
+    if not points.where("crowded").isEmpty():
+        crowd = materialize(
+            points.where("crowded").select("point_key", "point_id")
+            .join(postings.select("point_key", "posting_id"), "point_key")
+            .select("point_id", "posting_id"),
+            "crowd",
+        )
     return _Folded(postings, points, crowd)
 
 
@@ -292,25 +295,25 @@ def _crowded_pairs(gated: DataFrame, crowd: DataFrame, weights: DataFrame, confi
     return witnessed.unionByName(spelled)
 
 
-def scored_pairs(df: DataFrame, folded: _Folded, gated: DataFrame, config: MatchConfig) -> DataFrame:
+def _texts(df: DataFrame, config: MatchConfig) -> DataFrame:
+    return df.select("listing_id", *config.block, listing_text().alias("text"))
+
+
+def scored_pairs(
+    df: DataFrame, folded: _Folded, gated: DataFrame, idf: DataFrame, config: MatchConfig
+) -> DataFrame:
     """Scored posting pairs: across points from ``gated``, and each posting of a point with the point's first."""
-    crowded = not folded.crowd.isEmpty()
-    # Text weights only for postings that are in a pair; counts and frequencies from every text of the block.
-    texts = df.select("listing_id", *config.block, listing_text().alias("text"))
+    # Text weights only for postings that are in a pair.
     wanted = gated.select(F.col("id_a").alias("listing_id")).unionByName(
         gated.select(F.col("id_b").alias("listing_id"))
     )
-    if crowded:
+    if folded.crowd is not None:
         wanted = wanted.unionByName(folded.crowd.select(F.col("posting_id").alias("listing_id")))
-    idf = inverse_frequencies(texts, config.block, stop_words=config.stop_words)
-    vectors = materialize(
-        term_vectors(texts.join(wanted.distinct(), "listing_id", "left_semi"), idf, config.block,
-                     stop_words=config.stop_words),
-        "vectors",
-    )
+    texts = _texts(df, config).join(wanted.distinct(), "listing_id", "left_semi")
+    vectors = materialize(term_vectors(texts, idf, config.block, stop_words=config.stop_words), "vectors")
     # A point's first posting speaks for it; that settles all points with one text, and most others.
     first = _with_score(cosine_pairs(gated, vectors), config)
-    if not crowded:
+    if folded.crowd is None:
         return _matching(first, config)
     first = materialize(first, "first-scores")
     unsettled = first.where(F.col("crowded") & (F.col("exact_score") < dbl(config.threshold))).select(
@@ -372,9 +375,12 @@ def find_duplicates(df: DataFrame, config: MatchConfig = MatchConfig()) -> Dupli
     to connect it (see the module text). Clusters are those of all matching pairs.
     """
     rows = comparable(df, config)
-    folded = fold(rows, config)
-    gated = materialize(gated_points(folded.points, config), "gated-pairs")
-    pairs = scored_pairs(df, folded, gated, config)
+    with ThreadPoolExecutor(1) as pool:
+        # Word counts of the blocks need no pairs, so they are taken while the pairs are found.
+        idf = pool.submit(inverse_frequencies, _texts(df, config), config.block, stop_words=config.stop_words)
+        folded = fold(rows, config)
+        gated = materialize(gated_points(folded.points, config), "gated-pairs")
+    pairs = scored_pairs(df, folded, gated, idf.result(), config)
     if not folded.postings.where("copies > 1").isEmpty():
         pairs = pairs.unionByName(copy_links(df, rows, folded, config))
     pairs = materialize(pairs, "scored-pairs")

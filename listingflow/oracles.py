@@ -46,23 +46,28 @@ _PRICE = f"{_PSIM} >= CAST(0.9 AS DOUBLE)"
 _SIZE = f"{_SSIM} >= CAST(0.95 AS DOUBLE)"
 
 _GATED = f"gated AS ({_pairs(_GEO, _PRICE, _SIZE)})"
-_WEIGHTS = f"""
+
+
+def _weights(table: str, key: str, block: str, text: str) -> str:
+    """CTE ``weights``: block-local TF-IDF weights of the texts of a table."""
+    return f"""
 stop_words(w) AS (VALUES {_STOP}),
 tokens AS (
-  SELECT listing_id, area, property_type, bedrooms,
-         UNNEST(regexp_extract_all(LOWER({_TEXT}), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS token
-  FROM listings),
+  SELECT {key}, {block}, UNNEST(regexp_extract_all(LOWER({text}), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS token
+  FROM {table}),
 tf AS (
-  SELECT listing_id, area, property_type, bedrooms, token, COUNT(*) AS tf
+  SELECT {key}, {block}, token, COUNT(*) AS tf
   FROM tokens WHERE token NOT IN (SELECT w FROM stop_words) GROUP BY ALL),
-dfs AS (SELECT area, property_type, bedrooms, token, COUNT(*) AS df FROM tf GROUP BY ALL),
-docs AS (SELECT area, property_type, bedrooms, COUNT(*) AS n FROM listings GROUP BY ALL),
+dfs AS (SELECT {block}, token, COUNT(*) AS df FROM tf GROUP BY ALL),
+docs AS (SELECT {block}, COUNT(*) AS n FROM {table} GROUP BY ALL),
 raw_weights AS (
-  SELECT listing_id, token,
+  SELECT {key}, token,
          tf * (LN((CAST(1 AS DOUBLE) + n) / (CAST(1 AS DOUBLE) + df)) + CAST(1 AS DOUBLE)) AS w
-  FROM tf JOIN dfs USING (area, property_type, bedrooms, token) JOIN docs USING (area, property_type, bedrooms)),
-weights AS (
-  SELECT listing_id, token, w / SQRT(SUM(w * w) OVER (PARTITION BY listing_id)) AS weight FROM raw_weights)"""
+  FROM tf JOIN dfs USING ({block}, token) JOIN docs USING ({block})),
+weights AS (SELECT {key}, token, w / SQRT(SUM(w * w) OVER (PARTITION BY {key})) AS weight FROM raw_weights)"""
+
+
+_WEIGHTS = _weights("listings", "listing_id", "area, property_type, bedrooms", _TEXT)
 _SIMILAR = f"""{_GATED},
 {_WEIGHTS},
 dots AS (
@@ -264,7 +269,7 @@ FROM listings l JOIN listings f ON f.listing_id = l.dup_group_truth"""),
 SELECT listing_id, round_even({_distance("l.", "p.", "111.0")}, 2) AS distance_to_center_km
 FROM listings l, (SELECT CAST(25.1972 AS DOUBLE) AS lat, CAST(55.2744 AS DOUBLE) AS lon) p"""),
         "ratio_similarity": _scored(
-            f"SELECT listing_id, ROUND({_ratio('price_aed_month', 'predicted_price_aed_month')}, 4) AS similarity "
+            f"SELECT listing_id, ROUND({_ratio('price_aed_month', 'predicted_price_aed_month')}, 6) AS similarity "
             "FROM scored"),
         "date_parts": _listings("""
 SELECT listing_id, CAST(YEAR(listed_date) AS INT) AS year, CAST(MONTH(listed_date) AS INT) AS month,
@@ -296,11 +301,13 @@ SELECT area, property_type, bedrooms, COUNT(*) AS n_listings, COUNT(*) * (COUNT(
 FROM listings GROUP BY area, property_type, bedrooms"""),
         **{
             name: _listings(f"""
-SELECT id_a, id_b, ROUND(psim, 4) AS price_similarity, ROUND(ssim, 4) AS size_similarity FROM ({_pairs(*gates)})""")
+SELECT id_a, id_b, ROUND(psim, 6) AS price_similarity, ROUND(ssim, 6) AS size_similarity FROM ({_pairs(*gates)})""")
             for name, gates in (("geo_gate", [_GEO]), ("price_gate", [_GEO, _PRICE]),
                                 ("size_gate", [_GEO, _PRICE, _SIZE]))
         },
         "block_tfidf": _listings("SELECT listing_id, token, ROUND(weight, 4) AS weight FROM weights", _WEIGHTS),
+        "block_tfidf_documents": "WITH " + _weights("documents", "doc_id", "lang", "text") + """
+SELECT doc_id, token, ROUND(weight, 4) AS weight FROM weights""",
         "cosine_pairs": _listings(
             "SELECT id_a, id_b, ROUND(tsim, 4) AS text_similarity FROM likened", _SIMILAR),
         "score_pairs": _listings("SELECT id_a, id_b, ROUND(score, 4) AS score FROM matched", _SIMILAR),

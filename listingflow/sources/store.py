@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from listingflow.sources.schema import SCHEMA_VERSION, WAREHOUSE_TABLES
@@ -39,14 +38,17 @@ def _table_path(path: str, version: int, name: str) -> str:
     return f"{path}/versions/{version}/{name}"
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def _last_commit(spark: SparkSession, path: str) -> tuple[int, int]:
-    try:
-        commits = spark.read.schema(_COMMIT_SCHEMA).json(f"{path}/commits/*")
-        row = commits.selectExpr("max(struct(version, schema_version)) AS last").first()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return 0, SCHEMA_VERSION
-        raise
+    """(version, schema version) of the newest commit; a commit folder without its record does not count."""
+    if not _exists(spark, f"{path}/commits"):
+        return 0, SCHEMA_VERSION
+    commits = spark.read.schema(_COMMIT_SCHEMA).json(f"{path}/commits/*")
+    row = commits.selectExpr("max(struct(version, schema_version)) AS last").first()
     return (row["last"]["version"], row["last"]["schema_version"]) if row["last"] else (0, SCHEMA_VERSION)
 
 
@@ -73,9 +75,9 @@ def write_table(spark: SparkSession, path: str, version: int, name: str, df: Dat
 
 
 def commit(spark: SparkSession, path: str, version: int, schema_version: int = SCHEMA_VERSION) -> Warehouse:
-    """Make a fully written version the current one."""
-    record = spark.createDataFrame([(version, schema_version)], _COMMIT_SCHEMA).coalesce(1)
-    record.write.mode("errorifexists").json(f"{path}/commits/{version}")
+    """Make a fully written version the current one. The record appears when Spark's committer renames its file."""
+    record = spark.range(1).selectExpr(f"{version}L AS version", f"{schema_version} AS schema_version").coalesce(1)
+    record.write.mode("overwrite").json(f"{path}/commits/{version}")
     return Warehouse(spark, path, version)
 
 
