@@ -386,15 +386,15 @@ def _fair_value_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listings as requests: some without bedrooms or floor, some for an unknown area."""
-    k = F.col("listing_id")
+    """Listings as requests: furnished ones without bedrooms, new buildings without floor, one agent's for an
+    unknown area."""
     return _scored(spark, sf_dir).select(
         "listing_id",
-        F.when(k % 50 == 0, "Atlantis").otherwise(F.col("area")).alias("area"), "property_type",
+        F.when(F.col("agent_name") == "Agent 5", "Atlantis").otherwise(F.col("area")).alias("area"), "property_type",
         F.col("size_sqft").cast("double").alias("size_sqft"),
-        F.when(k % 3 != 0, F.col("bedrooms")).alias("bedrooms"), "furnished",
+        F.when(F.col("furnished") == 0, F.col("bedrooms")).alias("bedrooms"), "furnished",
         F.lit(None).cast("int").alias("building_age_years"),
-        F.when(k % 4 != 0, F.col("floor")).alias("floor"),
+        F.when(F.col("building_age_years") >= 6, F.col("floor")).alias("floor"),
         F.col("price_aed_month").cast("double").alias("price_aed_month"), "predicted_price_aed_month",
     )
 

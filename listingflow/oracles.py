@@ -119,10 +119,10 @@ grid AS (
 
 _REQUESTS = """
 asked AS (
-  SELECT listing_id, CASE WHEN listing_id % 50 = 0 THEN 'Atlantis' ELSE area END AS area, property_type,
+  SELECT listing_id, CASE WHEN agent_name = 'Agent 5' THEN 'Atlantis' ELSE area END AS area, property_type,
          CAST(size_sqft AS DOUBLE) AS size_sqft,
-         CASE WHEN listing_id % 3 <> 0 THEN bedrooms END AS bedrooms, furnished,
-         CASE WHEN listing_id % 4 <> 0 THEN floor END AS floor,
+         CASE WHEN furnished = 0 THEN bedrooms END AS bedrooms, furnished,
+         CASE WHEN building_age_years >= 6 THEN floor END AS floor,
          CAST(price_aed_month AS DOUBLE) AS price_aed_month, predicted_price_aed_month
   FROM scored)"""
 

@@ -68,12 +68,12 @@ def split_batch(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies = F.count(F.lit(1)).alias("copies")
     rejected = staged.where(missing.isNotNull()).groupBy(*columns).agg(copies).withColumn("reason", missing)
     complete = staged.where(missing.isNull())
-    repeated = materialize(
-        complete.groupBy("listing_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("listing_id"),
-        "repeated-ids",
+    repeated = (
+        complete.groupBy("listing_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("listing_id")
     )
     if repeated.isEmpty():
         return complete, rejected
+    repeated = materialize(repeated, "repeated-ids")
     versions = materialize(
         complete.join(repeated, "listing_id", "left_semi").groupBy(*columns).agg(copies), "repeated-rows"
     )
@@ -102,9 +102,7 @@ def new_members(dims: Mapping[str, DataFrame], staged: DataFrame) -> DataFrame:
     for name, _, key, _ in MEMBER_DIMENSIONS:
         known = known.unionByName(dims[name].select(F.lit(name).alias("dimension"), F.col(key).alias("member")))
     order = [F.col("dimension"), F.col("member")]
-    indexed = materialize(
-        with_row_index(found.join(known, ["dimension", "member"], "left_anti"), order), "new-members"
-    )
+    indexed = with_row_index(found.join(known, ["dimension", "member"], "left_anti"), order)
     starts = indexed.groupBy("dimension").agg(F.min("row_index").alias("start"))  # one row per dimension
     return indexed.join(F.broadcast(starts), "dimension").select(
         "dimension", "member", (F.col("row_index") - F.col("start") + 1).alias("nth")

@@ -7,15 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from listingflow.sources.schema import LISTING_SCHEMA
 
 
-def read_listings(spark: SparkSession, path: str, schema: str = LISTING_SCHEMA, fmt: str = "csv") -> DataFrame:
-    """Listings from CSV with a header (quoted fields may span lines) or from Parquet; the schema is never inferred.
-
-    A malformed CSV value fails the read instead of turning into a null.
+def read_listings(
+    spark: SparkSession, path: str, schema: str = LISTING_SCHEMA, fmt: str = "csv", multiline: bool = False
+) -> DataFrame:
+    """Listings from CSV with a header, or from Parquet; the schema is never inferred.
+
+    A malformed CSV value fails the read instead of turning into a null. With ``multiline``, quoted fields may hold
+    line breaks; each file is then read by one task, so such a feed should come as many files. Without it a large
+    file is split, and a line break inside quotes fails the read.
     """
     reader = spark.read.schema(schema)
     if fmt == "csv":
         # RFC 4180 quoting: a quote inside a quoted field is doubled.
-        return reader.csv(path, header=True, mode="FAILFAST", escape='"', multiLine=True, enforceSchema=False)
+        return reader.csv(path, header=True, mode="FAILFAST", escape='"', multiLine=multiline, enforceSchema=False)
     return reader.format(fmt).load(path)
 
 

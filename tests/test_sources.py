@@ -14,6 +14,15 @@ def test_csv_with_quotes_commas_and_line_breaks(spark):
     df = listings(spark, *rows)
     path = work_path(spark, "csv")
     df.write.csv(path, header=True, escape='"')
+    assert read_listings(spark, path, multiline=True).orderBy("listing_id").collect() == df.collect()
+    with pytest.raises(Exception, match="(?i)malformed"):  # never a silently broken row
+        read_listings(spark, path).collect()
+
+
+def test_csv_that_can_be_split(spark):
+    df = listings(spark, listing(1, title='A "prime", unit'), listing(2, description=None, listed_date=None))
+    path = work_path(spark, "csv")
+    df.write.csv(path, header=True, escape='"')
     assert read_listings(spark, path).orderBy("listing_id").collect() == df.collect()
 
 
