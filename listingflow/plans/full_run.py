@@ -20,7 +20,7 @@ from listingflow.streaming.scoring import judge_feed
 
 
 @dataclass(frozen=True)
-class PipelineResult:
+class FullRun:
     duplicates: Duplicates
     duplicate_metrics: DataFrame
     model: PipelineModel
@@ -32,12 +32,12 @@ class PipelineResult:
     queries: list[QueryResult]
 
 
-def run_pipeline(
+def run_full(
     spark: SparkSession, raw: DataFrame, warehouse: str, output: str,
     config: MatchConfig = MatchConfig(), params: model.ModelParams = model.ModelParams(),
     threshold: float = FRAUD_THRESHOLD, now: datetime | None = None,
     areas: DataFrame | None = None, types: DataFrame | None = None,
-) -> PipelineResult:
+) -> FullRun:
     """Duplicates, clean set, model, out-of-fold scores, evaluation, load, queries, result files.
 
     Duplicates and the cheap price flag come before training: the model may learn neither from one unit twice nor
@@ -90,5 +90,5 @@ def run_pipeline(
     }
     for name, rows in records.items():
         write_records(rows, f"{output}/{name}")
-    return PipelineResult(found, duplicate_metrics, fitted.model, fitted.metrics, importances, scored,
+    return FullRun(found, duplicate_metrics, fitted.model, fitted.metrics, importances, scored,
                           fraud_metrics, loaded, queries)

@@ -3,7 +3,7 @@ import json
 import pytest
 
 from builders import listing, listings
-from listingflow.plans.pipeline import run_pipeline
+from listingflow.plans.full_run import run_full
 from listingflow.operators.model import ModelParams
 from listingflow.session import shared_root, work_path
 from listingflow.sources.listings import read_listings, write_records
@@ -57,7 +57,7 @@ def test_all_steps_on_one_batch(spark, tmp_path):
                             area="AB"[i % 2], dup_group_truth=i, title=f"unit {i} near park"))
     rows += [listing(500 + i, lat=25.0 + i * 0.01, size_sqft=600 + i * 3, price_aed_month=6050 + i * 40,
                      area="AB"[i % 2], dup_group_truth=i, title=f"unit {i} near park again") for i in range(20)]
-    result = run_pipeline(spark, listings(spark, *rows), str(tmp_path / "wh"), str(tmp_path / "out"),
+    result = run_full(spark, listings(spark, *rows), str(tmp_path / "wh"), str(tmp_path / "out"),
                           params=ModelParams(rounds=3, step=0.5))
     metrics = result.duplicate_metrics.first()
     assert (int(metrics.true_pairs), metrics.recall, metrics.precision) == (20, 1.0, 1.0)
