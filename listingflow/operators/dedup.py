@@ -73,24 +73,19 @@ def _number(name: str) -> Column:
 def comparable(df: DataFrame, config: MatchConfig) -> DataFrame:
     """The compared columns of every listing that can match another one.
 
-    A null block key is never compared, and a null or zero price or size never reaches the threshold.
-    ``text_key`` stands for the text, so that the text itself is not shuffled.
+    A null block key is never compared, and a null or zero price or size never reaches the threshold. Digests stand
+    for the text, so that the text itself is not shuffled.
     """
     text = listing_text()
     unplaced = _number("lat").isNull() | _number("lon").isNull()
-    numbers = {
-        "lat": F.when(~unplaced, _number("lat")), "lon": F.when(~unplaced, _number("lon")),
-        "price": _number("price_aed_month"), "size": _number("size_sqft"),
-    }
-    # Without the rule that equal numbers match, rows are folded only if their texts are equal too.
-    point_extra = [] if config.equal_numbers_match else [text]
-    key = F.to_json(F.array(*[F.col(c).cast("string") for c in config.block],
-                            *[n.cast("string") for n in numbers.values()], *point_extra))
     return (
         df.dropna(subset=list(config.block))
         .select(
-            "listing_id", *config.block, *[n.alias(name) for name, n in numbers.items()],
-            F.md5(text).alias("text_key"), F.md5(key).alias("point_key"),
+            "listing_id", *config.block,
+            F.when(~unplaced, _number("lat")).alias("lat"), F.when(~unplaced, _number("lon")).alias("lon"),
+            _number("price_aed_month").alias("price"), _number("size_sqft").alias("size"),
+            F.md5(text).alias("text_key"),
+            F.xxhash64(text).alias("text_a"), F.xxhash64(F.lit(1), text).alias("text_b"),
         )
         .where((F.col("price") != 0) & (F.col("size") != 0))
     )
@@ -98,35 +93,46 @@ def comparable(df: DataFrame, config: MatchConfig) -> DataFrame:
 
 @dataclass(frozen=True)
 class _Folded:
-    postings: DataFrame  # posting_id, copies, point_key, text_key and the compared numbers
     points: DataFrame  # point_id, block columns, lat, lon, price, size, crowded
-    crowd: DataFrame | None  # point_id, posting_id for points with several postings; None without such points
+    # Of points with several listings only, and None without such points:
+    located: DataFrame | None = None  # point_id, crowded, text_key, listing_id
+    postings: DataFrame | None = None  # point_id, text_key, posting_id, copies
+    crowd: DataFrame | None = None  # point_id, posting_id for points with several texts
 
 
 def fold(rows: DataFrame, config: MatchConfig) -> _Folded:
-    """Postings and points of the comparable rows; all counts combine before the shuffle."""
-    spot = ["point_key", *config.block, "lat", "lon", "price", "size"]
+    """Points of the comparable rows, and the postings of points that hold more than one listing.
+
+    The points take one narrow shuffle, before which the rows of a point combine per task; only rows that share
+    their point with others are looked at again.
+    """
+    spot = [*config.block, "lat", "lon", "price", "size"]
+    if not config.equal_numbers_match:
+        spot.append("text_key")  # equal numbers alone are no match then, so only copies share a point
+    several_texts = [F.min(t) != F.max(t) for t in ("text_a", "text_b")]
+    points = materialize(
+        rows.groupBy(*spot).agg(
+            F.min("listing_id").alias("point_id"), F.count(F.lit(1)).alias("n_listings"),
+            (several_texts[0] | several_texts[1]).alias("crowded"),
+        ),
+        "points",
+    )
+    shared = points.where("n_listings > 1")
+    if shared.isEmpty():
+        return _Folded(points)
+    shared = materialize(shared, "shared-points")
+    same_spot = [rows[c].eqNullSafe(shared[c]) if c in ("lat", "lon") else rows[c] == shared[c] for c in spot]
+    located = materialize(
+        rows.join(shared, same_spot).select("point_id", "crowded", rows["text_key"], "listing_id"), "located"
+    )
     postings = materialize(
-        rows.groupBy(*spot, "text_key").agg(
+        located.groupBy("point_id", "crowded", "text_key").agg(
             F.min("listing_id").alias("posting_id"), F.count(F.lit(1)).alias("copies")
         ),
         "postings",
     )
-    points = materialize(
-        postings.groupBy(*spot).agg(
-            F.min("posting_id").alias("point_id"), (F.count(F.lit(1)) > 1).alias("crowded")
-        ),
-        "points",
-    )
-    crowd = None
-    if not points.where("crowded").isEmpty():
-        crowd = materialize(
-            points.where("crowded").select("point_key", "point_id")
-            .join(postings.select("point_key", "posting_id"), "point_key")
-            .select("point_id", "posting_id"),
-            "crowd",
-        )
-    return _Folded(postings, points, crowd)
+    crowd = postings.where("crowded").select("point_id", "posting_id")
+    return _Folded(points, located, postings, None if crowd.isEmpty() else crowd)
 
 
 def _gates(config: MatchConfig, placed: bool) -> Column:
@@ -327,9 +333,9 @@ def scored_pairs(
     return _matching(first, config).unionByName(score_pairs(cosine_pairs(rest, vectors), config))
 
 
-def copy_links(df: DataFrame, rows: DataFrame, folded: _Folded, config: MatchConfig) -> DataFrame:
+def copy_links(df: DataFrame, folded: _Folded, config: MatchConfig) -> DataFrame:
     """Exact copies, each linked to the least id of its posting."""
-    copied = folded.postings.where("copies > 1").select("point_key", "text_key", "posting_id")
+    copied = folded.postings.where("copies > 1").select("point_id", "text_key", "posting_id")
     texts = df.select(F.col("listing_id").alias("posting_id"), "title", "description")
     has_tokens = F.size(tokens(listing_text(), config.stop_words)) > 0
     score = (
@@ -338,12 +344,12 @@ def copy_links(df: DataFrame, rows: DataFrame, folded: _Folded, config: MatchCon
     )
     heads = materialize(
         texts.join(copied, "posting_id").withColumn("exact", score).where(F.col("exact") >= dbl(config.threshold))
-        .select("point_key", "text_key", "posting_id", F.bround("exact", 4).alias("score")),
+        .select("point_id", "text_key", "posting_id", F.bround("exact", 4).alias("score")),
         "copied",
     )
     return (
-        rows.select("point_key", "text_key", "listing_id")
-        .join(heads, ["point_key", "text_key"])
+        folded.located.select("point_id", "text_key", "listing_id")
+        .join(heads, ["point_id", "text_key"])
         .where("listing_id <> posting_id")
         .select(F.col("posting_id").alias("id_a"), F.col("listing_id").alias("id_b"), "score")
     )
@@ -374,15 +380,14 @@ def find_duplicates(df: DataFrame, config: MatchConfig = MatchConfig()) -> Dupli
     Pairs hold every matching pair of points; where a point has several texts or copies, they hold enough of them
     to connect it (see the module text). Clusters are those of all matching pairs.
     """
-    rows = comparable(df, config)
     with ThreadPoolExecutor(1) as pool:
         # Word counts of the blocks need no pairs, so they are taken while the pairs are found.
         idf = pool.submit(inverse_frequencies, _texts(df, config), config.block, stop_words=config.stop_words)
-        folded = fold(rows, config)
+        folded = fold(comparable(df, config), config)
         gated = materialize(gated_points(folded.points, config), "gated-pairs")
     pairs = scored_pairs(df, folded, gated, idf.result(), config)
-    if not folded.postings.where("copies > 1").isEmpty():
-        pairs = pairs.unionByName(copy_links(df, rows, folded, config))
+    if folded.postings is not None and not folded.postings.where("copies > 1").isEmpty():
+        pairs = pairs.unionByName(copy_links(df, folded, config))
     pairs = materialize(pairs, "scored-pairs")
     members, _ = assign_clusters(connected_components(pairs))
     members = materialize(members, "members")
