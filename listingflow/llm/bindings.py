@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingflow.llm import decontaminate, mixing, quality_rules, simhash, surrogates
+from listingflow.llm import (
+    decontaminate, licenses, mixing, passages, pu_quality, quality_rules, simhash, surrogates, token_counts, url_lists,
+)
 
 # The key of the surrogates in the registered queries. A real run passes its own secret.
 QUERY_KEY = "listing corpus"
@@ -21,6 +23,15 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op1_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of 50 words or more that a document shares with an earlier one."""
+    return passages.passages(documents(spark, sf_dir))
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that the mix takes of it."""
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
@@ -38,6 +49,53 @@ def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace(documents(spark, sf_dir), QUERY_KEY).select("doc_id", "text", "n_replaced")
 
 
+def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens, counted in token files of all documents."""
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return token_counts.count_tokens(
+        spark, documents(spark, sf_dir), ranks, public_tokenizers.PATTERN, eod=50_256
+    ).select("doc_id", "n_tokens")
+
+
+def url_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with a day on which each was fetched, within two years."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    day = F.pmod(F.col("page_id") * 7919, F.lit(730)).cast("int")
+    return pages.select("page_id", "url", F.date_add(F.lit("2023-01-01").cast("date"), day).alias("fetched"))
+
+
+def url_events(captures: DataFrame) -> DataFrame:
+    """A log of list entries made from the pages' own hosts: a digest says what is listed, and when."""
+    host = url_lists.host_of(F.col("url"))
+    hosts = captures.select(host.alias("host")).where("host <> ''").distinct()
+    number = F.conv(F.substring(F.md5("host"), 1, 6), 16, 10).cast("int")
+    kind = F.element_at(F.array(F.lit("host"), F.lit("domain"), F.lit("prefix")), number % 3 + 1)
+    entry = (
+        F.when(kind == "host", F.col("host"))
+        .when(kind == "domain", F.regexp_replace("host", r"^(?:www|m|blog)\.", ""))
+        .otherwise(F.concat("host", F.lit("/en/")))
+    )
+    start = F.date_add(F.lit("2022-06-01").cast("date"), number % 500)
+    log = F.explode(F.array(
+        F.struct(F.lit("add").alias("action"), start.alias("at")),
+        F.struct(F.lit("remove").alias("action"), F.date_add(start, 60 + number % 200).alias("at")),
+        F.struct(F.lit("add").alias("action"), F.date_add(start, 300 + number % 200).alias("at")),
+    ))
+    return hosts.where(number % 4 != 0).select(kind.alias("kind"), entry.alias("entry"), log.alias("e")).select(
+        "kind", "entry", "e.action", "e.at"
+    )
+
+
+def op6_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with the list entry that covered its address on the day it was fetched."""
+    captures = url_captures(spark, sf_dir)
+    return url_lists.listed(captures, url_events(captures)).select(
+        "page_id", "host", "fetched", "listed", "kind", "entry", "since"
+    )
+
+
 def op7_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's measurements, failed rules and verdicts."""
     entries = quality_rules.ledger(documents(spark, sf_dir))
@@ -52,6 +110,19 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir)).drop("digest")
 
 
+def op9_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's canonical digest and the licences it and its lines are."""
+    return licenses.scan(documents(spark, sf_dir))
+
+
+def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score."""
+    return pu_quality.score(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op2_source_mix, op3_simhash_golay, op4_pii_surrogates, op7_rule_ledger, op8_decontaminate)
+    named = (
+        op1_fuzzy_passages, op2_source_mix, op3_simhash_golay, op4_pii_surrogates, op5_separator_scan, op6_url_lists,
+        op7_rule_ledger, op8_decontaminate, op9_license_digests, op10_pu_quality,
+    )
     return {f.__name__: f for f in named}
