@@ -21,6 +21,9 @@ repeated or not, whatever their id; other columns pass through. An empty table g
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,16 +48,23 @@ ENDINGS = {("male", "latin"): "n", ("female", "latin"): "na", ("male", "cyrillic
            ("family", "latin"): "r", ("family", "cyrillic"): "в"}
 
 _NAME = r"\p{Lu}\p{L}{1,30}"
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}"
-SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
-ACCOUNT = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"
-PHONE = (r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
-         r"|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])")
-ADDRESS = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])"
-SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-PERSON = rf"(?<!\p{{L}})(?:{'|'.join(MALE_TITLES + FEMALE_TITLES)})\.? {_NAME}(?: {_NAME})?"
-PATTERN = "|".join((EMAIL, SECRET, ACCOUNT, PHONE, ADDRESS, SOCIAL, CARD, PERSON))
+_TITLES = "|".join(MALE_TITLES + FEMALE_TITLES)
+EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}+\.){1,10}[A-Za-z]{2,24}"
+SECRET = r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
+ACCOUNT = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"
+PERSON = rf"(?=[{''.join(sorted({t[0] for t in MALE_TITLES + FEMALE_TITLES}))}])(?<!\p{{L}})(?:{_TITLES})\.? {_NAME}(?: {_NAME})?"
+PHONE = (r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
+         r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])")
+ADDRESS = r"(?<![0-9]\.)(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])"
+SOCIAL = r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+CARD = r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+# One look back per character decides whether a word begins; all else is tried only there, or at a digit, + or (.
+PATTERN = (rf"(?<![A-Za-z0-9])(?:{EMAIL}|{SECRET}|{ACCOUNT}|{PERSON})"
+           rf"|(?=[0-9+(])(?<![0-9])(?:{PHONE}|{ADDRESS}|{SOCIAL}|{CARD})")
+# Every match has one of these. Plain searches for them are far cheaper than the pattern, so it is tried only after.
+_TITLE_STEMS = tuple(t for t in MALE_TITLES + FEMALE_TITLES if not any(
+    t != u and t.startswith(u) for u in MALE_TITLES + FEMALE_TITLES))
+_HINTS = tuple("@0123456789") + _TITLE_STEMS
 
 _DIGITS_ONLY = ("phone", "social", "card")
 
@@ -263,7 +273,8 @@ def assign(units: DataFrame, key: str) -> DataFrame:
 def replace(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and ``n_replaced``; the key decides the surrogates."""
     text = docs["text"].cast("string")
-    has = F.coalesce(text.rlike(PATTERN), F.lit(False))
+    hinted = reduce(or_, (text.contains(h) for h in _HINTS))
+    has = F.coalesce(F.when(hinted, text.rlike(PATTERN)), F.lit(False))
     digest = F.sha2(text, 256)
     found = materialize(
         docs.where(has).select(digest.alias("digest"), entities(text).alias("found"))
