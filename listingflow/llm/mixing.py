@@ -111,13 +111,14 @@ def mix(
     )
     sources = materialize(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     budget = sources.agg(F.sum("source_size").alias("n")).first()["n"] or 0
-    aimed = materialize(targets(materialize(weigh_in_turn(sources, weights), "weighed"), float(budget), max_repeats), "targets")
+    aimed = targets(materialize(weigh_in_turn(sources, weights), "weighed"), float(budget), max_repeats)
+    aimed = materialize(aimed.withColumn("_all", F.lit(0)), "targets")  # one group, as a column to join on
     # What one shard's last, shorter block may cost is small only if a shard has many blocks.
     dealt = F.pmod(F.xxhash64(F.lit(seed), F.lit("shard"), "doc_id", "size"),
                    F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)))
     blocks = F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words))
     by_source = apportion(
-        aimed.withColumns({"_seats_in_all": F.lit(round(budget / block_words)), "_most": max_repeats * blocks, "_all": F.lit(0)}),
+        aimed.withColumns({"_seats_in_all": F.lit(round(budget / block_words)), "_most": max_repeats * blocks}),
         ["_all"], ["source"], "target", "_seats_in_all", "_most",
     ).select(F.col("source").alias("_source"), "source_size", "target", F.col("quota").alias("source_quota"))
     by_source = materialize(by_source, "source-quotas")
