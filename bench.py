@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -42,6 +43,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
@@ -70,15 +72,17 @@ def main() -> None:
     clock("naive_price_flag", lambda: run(evaluate.naive_price_flag(listings)))
     flags = prepared(evaluate.naive_price_flag(listings), "flags")
     clock("clean_training_set", lambda: run(model.clean_training_set(listings, found.members, flags)))
-    clean = model.clean_training_set(listings, found.members, flags)
-    fitted = clock("fit_price_model", lambda: model.fit(prepared(clean, "clean"), bindings.QUERY_MODEL))
+    clean = prepared(model.clean_training_set(listings, found.members, flags), "clean")
+    fitted = clock("fit_price_model", lambda: model.fit_price_model(clean, bindings.QUERY_MODEL, written=True)).model
+    clock("score_out_of_fold", lambda: run(
+        model.score_out_of_fold(listings, clean, found.members, params=bindings.QUERY_MODEL)))
     clock("score_all", lambda: run(model.score_all(fitted, listings)))
 
     path = work_path(spark, "warehouse")
     times_of_load = bindings.LOAD_TIMES
     clock("load_batch", lambda: load.load_batch(spark, path, batch, members, now=times_of_load[0]))
     loaded = clock("reload_batch", lambda: load.load_batch(spark, path, batch, members, now=times_of_load[1]))
-    for name, _, _ in analytics.QUERIES:
+    for name, _ in analytics.QUERIES:
         clock(name, lambda name=name: run(analytics.run_query(loaded.warehouse, name)[1]))
     clock("compare_fraud_methods", lambda: run(evaluate.compare_fraud_methods(listings, scored)))
 
@@ -91,8 +95,8 @@ def main() -> None:
 
     clock("score_requests", score_requests)
     clock("fair_value_grid", lambda: run(requests.fair_value_grid(areas, types, fitted)))
-    order = [F.asc_nulls_last("listed_date"), F.col("listing_id")]
-    clock("systematic_sample", lambda: run(sampling.systematic_sample(listings, order)))
+    clock("systematic_sample", lambda: run(
+        sampling.systematic_sample(listings, ["listed_date", "listing_id"], "listing_id")))
 
     arrived = work_path(spark, "arrived")
     listings.write.parquet(arrived)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from listingflow import fixtures as fx
 from listingflow.functions import columns as c
+from listingflow.functions.columns import dbl
 from listingflow.operators import evaluate, model, quality, requests, review, sampling, textweights
 from listingflow.operators.components import connected_components
 from listingflow.operators.dedup import (
@@ -215,11 +216,9 @@ def _month_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hashes are equal exactly when the hashed values are: as many hashes as distinct rows."""
-    keys = ["title", "area", "price_aed_month", "size_sqft", "lat", "dup_cluster_id"]
-    return _scored(spark, sf_dir).select(c.row_hash(keys).alias("h")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("h").alias("n_hashes")
-    )
+    """The hash of every staged row, over all its columns."""
+    rows = _scored(spark, sf_dir)
+    return load.build_staging(rows.drop("dup_cluster_id"), _members(rows)).select("listing_id", "row_hash")
 
 
 def _add_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,6 +271,14 @@ def _cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_similarity(spark, sf_dir).select("id_a", "id_b", _r("text_similarity").alias("text_similarity"))
 
 
+def _crowded(**open_gates) -> Query:
+    """Cluster map of the listings made hard, in every branch of the search."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = materialize(fx.crowded(spark, sf_dir), "crowded")
+        return find_duplicates(rows, MatchConfig(hot_rows=50, **open_gates)).members
+    return run
+
+
 def _assign_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     members, clusters = assign_clusters(connected_components(_found(spark, sf_dir).pairs))
     return members.join(clusters, F.col("dup_cluster_id") == F.col("cluster_id")).select(
@@ -361,6 +368,69 @@ def _score_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---- what SQL can say about the results of a fitted model
+
+
+def _identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per listing: the residuals are those of its prediction, and the saved model predicts the same."""
+    again = _save_load_model(spark, sf_dir).select("listing_id", F.col("predicted_price_aed_month").alias("again"))
+    gap = F.col("price_aed_month") - F.col("predicted_price_aed_month")
+    return _score_all(spark, sf_dir).join(again, "listing_id").select(
+        "listing_id", "price_aed_month",
+        (F.col("residual_aed") == gap).alias("absolute_holds"),
+        (F.abs(F.col("residual_pct") - gap / F.col("predicted_price_aed_month")) <= 0.00005001).alias("relative_holds"),
+        (F.col("again") == F.col("predicted_price_aed_month")).alias("same_after_reload"),
+    )
+
+
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fitted(spark, sf_dir).metrics.select("n_train", "n_test", (F.col("r2") > 0.9).alias("good"))
+
+
+def _heldout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fitted(spark, sf_dir).heldout.select(
+        "listing_id", "actual", "area", (F.abs(F.col("predicted") / F.col("actual") - 1) < 1).alias("near"))
+
+
+def _importance_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _importances(spark, sf_dir)
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_features"), (F.abs(F.sum("importance") - 1) < 0.001).alias("sum_is_one"),
+        F.max_by("feature", "importance").alias("first"),
+    )
+
+
+def _out_of_fold_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per fold: rows, units, units that are in another fold too, and whether the mean error is small."""
+    rows = _out_of_fold(spark, sf_dir).join(_scored(spark, sf_dir).select("listing_id", c.unit_key().alias("unit")), "listing_id")
+    by_unit = rows.groupBy("unit").agg(F.countDistinct("fold").alias("folds"))
+    return rows.join(by_unit, "unit").groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("unit").alias("n_units"),
+        F.count_if(F.col("folds") > 1).alias("n_elsewhere"), (F.avg(F.abs("residual_pct")) < 0.25).alias("good"),
+    )
+
+
+def _grid_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fair_value_grid(spark, sf_dir).select(
+        "area", "property_type", "size_sqft", "furnished", (F.col("predicted_price_aed_month") > 0).alias("priced"))
+
+
+def _stream_is_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["listing_id", "predicted_price_aed_month", "residual_pct", "flag"]
+    batch = scoring.score_stream(_listings(spark, sf_dir), _model(spark, sf_dir)).select(*columns).alias("b")
+    both = _score_stream(spark, sf_dir).select(*columns).alias("s").join(batch, "listing_id")
+    same = [F.col(f"s.{n}").eqNullSafe(F.col(f"b.{n}")) for n in columns[1:]]
+    return both.select("listing_id", (same[0] & same[1] & same[2]).alias("same"))
+
+
+def _request_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per scored request: the flag is that of the relative gap, and the suspicion too."""
+    gap = F.col("residual_pct")
+    band = F.when(gap <= -0.3, "underpriced").when(gap >= 0.3, "overpriced").otherwise("fair")
+    return _score_requests(spark, sf_dir).select(
+        "listing_id", (F.col("flag") == band).alias("flag_holds"), (F.col("suspicious") == (gap <= -0.3)).alias("suspicion_holds"))
+
+
 def _folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.group_folds(_scored(spark, sf_dir)).select("listing_id", "fold")
 
@@ -368,7 +438,8 @@ def _folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _out_of_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _scored(spark, sf_dir)
     raw = rows.drop("dup_cluster_id", "predicted_price_aed_month", "residual_pct")
-    out = model.score_out_of_fold(raw, _clean(spark, sf_dir), _members(rows), params=QUERY_MODEL)
+    out = _once(spark, sf_dir, "out-of-fold", lambda: materialize(
+        model.score_out_of_fold(raw, _clean(spark, sf_dir), _members(rows), params=QUERY_MODEL), "out-of-fold"))
     return out.select("listing_id", "fold", "predicted_price_aed_month", "residual_aed", "residual_pct")
 
 
@@ -400,13 +471,23 @@ def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _prepare_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid, rejected = requests.prepare_requests(_requests(spark, sf_dir), *_areas_and_types(spark, sf_dir))
+    asked = _requests(spark, sf_dir)
+    number = F.col("listing_id")
+    # One fault of each kind, some in the same row.
+    faults = {
+        "property_type": F.when(number % 101 == 1, "Castle"), "size_sqft": F.when(number % 103 == 2, dbl(-5.0)),
+        "bedrooms": F.when(number % 109 == 4, 11), "building_age_years": F.when(number % 113 == 5, 101),
+        "floor": F.when(number % 127 == 6, 201), "price_aed_month": F.when(number % 131 == 7, dbl(0.0)),
+    }
+    asked = asked.select(*(F.coalesce(faults[n], F.col(n)).alias(n) if n in faults else n for n in asked.columns))
+    asked = asked.withColumn("size_sqft", F.when(number % 107 != 3, F.col("size_sqft")))
+    valid, rejected = requests.prepare_requests(asked, *_areas_and_types(spark, sf_dir))
     filled = ["listing_id", "area", "property_type", "size_sqft", "bedrooms", "furnished", "building_age_years",
               "floor", "lat", "lon"]
     none = F.lit(-1)
     return valid.select(*filled, F.lit("").alias("reason")).unionByName(rejected.select(
-        "listing_id", "area", "property_type", "size_sqft", none.alias("bedrooms"), "furnished",
-        none.alias("building_age_years"), none.alias("floor"), F.lit(-1.0).alias("lat"), F.lit(-1.0).alias("lon"),
+        "listing_id", "area", "property_type", F.coalesce("size_sqft", F.lit(-1.0)).alias("size_sqft"),
+        none.alias("bedrooms"), "furnished", none.alias("building_age_years"), none.alias("floor"), F.lit(-1.0).alias("lat"), F.lit(-1.0).alias("lon"),
         "reason",
     ))
 
@@ -490,7 +571,7 @@ def _ensure_version(spark: SparkSession, sf_dir: str) -> DataFrame:
         load.table_counts(open_warehouse(spark, path, version)).withColumn("schema_version", F.lit(version))
         for version in (SCHEMA_VERSION, SCHEMA_VERSION + 1)
     ]
-    return counts[0].unionByName(counts[1]).where(F.col("table_name") == "fact_listings")
+    return counts[0].unionByName(counts[1])
 
 
 def _analytical(name: str) -> Query:
@@ -524,15 +605,14 @@ def _stream_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sample_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fx.table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    return sampling.systematic_sample(events, [F.col("ts"), F.col("event_id")]).select(
+    return sampling.systematic_sample(events, ["ts", "event_id"], "event_id").select(
         "position", "event_id", "event_type"
     )
 
 
 def _sample_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _listings(spark, sf_dir).select("listing_id", "listed_date", "title")
-    order = [F.asc_nulls_last("listed_date"), F.col("listing_id")]
-    return sampling.systematic_sample(rows, order).select("position", "listing_id", "title")
+    return sampling.systematic_sample(rows, ["listed_date", "listing_id"], "listing_id").select("position", "listing_id", "title")
 
 
 def _latency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -587,6 +667,8 @@ def queries() -> dict[str, Query]:
         "assign_clusters": _assign_clusters,
         "find_duplicates_pairs": lambda spark, sf_dir: _found(spark, sf_dir).pairs,
         "find_duplicates_map": lambda spark, sf_dir: _found(spark, sf_dir).members,
+        "crowded_map": _crowded(),
+        "crowded_map_open_price": _crowded(min_price_similarity=None),
         "cluster_review_members": _cluster_review,
         "cluster_review_pairs": lambda spark, sf_dir: review.review_pairs(_found(spark, sf_dir)).select(
             "cluster_id", "n_members", "id_a", "id_b", "score"),
@@ -602,6 +684,7 @@ def queries() -> dict[str, Query]:
             _listings(spark, sf_dir), _scored(spark, sf_dir)),
         "field_completeness": lambda spark, sf_dir: quality.field_completeness(_listings(spark, sf_dir)),
         "exact_duplicates": lambda spark, sf_dir: quality.exact_duplicates(_listings(spark, sf_dir)),
+        "total_rows": lambda spark, sf_dir: quality.total_rows(_listings(spark, sf_dir)),
         "invalid_prices": lambda spark, sf_dir: quality.invalid_prices(
             _listings(spark, sf_dir).withColumn("price_aed_month", F.col("price_aed_month") - 2000)),
         # model and requests
@@ -613,6 +696,14 @@ def queries() -> dict[str, Query]:
         "heldout_predictions": lambda spark, sf_dir: _fitted(spark, sf_dir).heldout,
         "feature_importances": _importances,
         "score_all": _score_all,
+        "model_identities": _identities,
+        "model_quality": _quality,
+        "heldout_rows": _heldout_rows,
+        "importance_summary": _importance_summary,
+        "out_of_fold_units": _out_of_fold_units,
+        "grid_prices": _grid_prices,
+        "request_identities": _request_identities,
+        "stream_is_batch": _stream_is_batch,
         "group_folds": _folds,
         "score_out_of_fold": _out_of_fold,
         "grid_points": _grid_points,
@@ -631,10 +722,11 @@ def queries() -> dict[str, Query]:
         "reactivate": _facts_after(3),
         "audit_run": _audit_run,
         "table_counts": lambda spark, sf_dir: load.table_counts(_loads(spark, sf_dir)[3].warehouse),
-        "load_batch": _facts_after(1),
+        "load_batch": lambda spark, sf_dir: _facts(_warehouse(spark, sf_dir)),
+        "load_part": _facts_after(1),
         "ensure_version": _ensure_version,
         # analytical SQL
-        **{name: _analytical(name) for name, _, _ in analytics.QUERIES},
+        **{name: _analytical(name) for name, _ in analytics.QUERIES},
         # streaming
         "score_stream": _score_stream,
         "stream_bands": _stream_bands,

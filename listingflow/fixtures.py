@@ -1,6 +1,6 @@
 """The driver's tables seen as listings, and the side tables the registered queries bind to.
 
-``LISTINGS_SQL`` and ``SCORED_SQL`` run unchanged in Spark SQL and in DuckDB.
+The SQL here runs unchanged in Spark SQL and in DuckDB.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ WITH k AS (
   SELECT o_orderkey AS k, o_custkey, CAST(o_orderdate AS DATE) AS odate,
          CASE WHEN o_orderkey > 1 AND o_orderkey % 35 = 1 THEN o_orderkey - 2
               WHEN o_orderkey > 0 AND o_orderkey % 7 = 0 THEN o_orderkey - 1
-              ELSE o_orderkey END AS unit
+              ELSE o_orderkey END AS unit,
+         (SELECT COUNT(*) FROM {part}) AS n_parts
   FROM {orders}),
 u AS (
   SELECT k.k, k.o_custkey, k.unit, base.o_orderdate AS udate, n.n_name, n.n_nationkey AS a,
@@ -21,7 +22,7 @@ u AS (
   FROM k
   JOIN {orders} base ON base.o_orderkey = k.unit
   JOIN {nation} n ON n.n_nationkey = (k.unit * 11) % 25
-  JOIN {part} p ON p.p_partkey = (k.unit * 17) % 200),
+  JOIN {part} p ON p.p_partkey = (k.unit * 17) % k.n_parts),
 s AS (
   SELECT u.*, 400 + t * 450 + (unit * 7919) % 300 AS size0,
          0.85 + ((unit * 104729) % 36) / 100.0 AS noise
@@ -51,6 +52,25 @@ SELECT k AS listing_id,
 FROM b
 """
 
+# The same listings, made hard for duplicate detection: a third at the place of their block, prices and sizes on a
+# coarse grid, long texts, copies, listings without a place, prices and sizes of 0 or null.
+CROWDED_SQL = """
+SELECT listing_id, property_type, area, bedrooms, furnished, building_age_years, floor, agent_name, listed_date,
+       is_suspicious_truth, dup_group_truth,
+       CASE WHEN listing_id % 4 = 1 THEN title
+            ELSE CONCAT(title, ' ', description, ' lot', CAST(listing_id % 9 AS VARCHAR(4)), ' by ', agent_name) END AS title,
+       CASE WHEN listing_id % 29 = 3 THEN NULL
+            WHEN listing_id % 5 = 2 THEN description
+            ELSE CONCAT(description, ' viewing', CAST(listing_id % 7 AS VARCHAR(4)), ' garden', CAST(listing_id % 3 AS VARCHAR(4))) END AS description,
+       CASE WHEN listing_id % 31 = 4 THEN NULL WHEN listing_id % 3 = 0 THEN CAST(bedrooms AS DOUBLE) ELSE lat END AS lat,
+       CASE WHEN listing_id % 37 = 5 THEN NULL WHEN listing_id % 3 = 0 THEN CAST(floor % 2 AS DOUBLE) * 0.0001 ELSE lon END AS lon,
+       CASE WHEN listing_id % 41 = 6 THEN NULL WHEN listing_id % 19 = 7 THEN 0
+            ELSE CAST(FLOOR(price_aed_month / 1500.0) * 1500 + 1500 AS INT) END AS price_aed_month,
+       CASE WHEN listing_id % 43 = 8 THEN NULL WHEN listing_id % 47 = 9 THEN 0
+            ELSE CAST(FLOOR(size_sqft / 120.0) * 120 + 120 AS INT) END AS size_sqft
+FROM {listings}
+"""
+
 SCORED_SQL = """
 SELECT x.*, ROUND(x.price_aed_month / x.predicted_price_aed_month - 1.0, 4) AS residual_pct
 FROM (
@@ -70,5 +90,9 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(LISTINGS_SQL, orders=orders, nation=nation, part=part)
 
 
+def crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(CROWDED_SQL, listings=listings(spark, sf_dir))
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(SCORED_SQL, listings=listings(spark, sf_dir), nation=table(spark, sf_dir, "nation"))

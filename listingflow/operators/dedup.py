@@ -70,13 +70,23 @@ def _number(name: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def comparable(df: DataFrame, config: MatchConfig) -> DataFrame:
-    """The compared columns of every listing that can match another one.
+def comparable(df: DataFrame, config: MatchConfig, scored: bool = True) -> DataFrame:
+    """The compared columns of every listing that can be in a pair; digests stand for the text.
 
-    A null block key is never compared, and a null or zero price or size never reaches the threshold. Digests stand
-    for the text, so that the text itself is not shuffled.
+    A null block key is never compared. A price or size that is null, or 0 next to another 0, has no similarity and
+    passes no gate; 0 next to another number has similarity 0. So a null drops the row where the value is gated or
+    scored, and a 0 where it is gated. With an open gate a listing of price 0 may still match by size and text, but
+    equal zeros are no equal numbers: such rows are kept ``apart`` from each other.
     """
     text = listing_text()
+    gates = {"price": config.min_price_similarity, "size": config.min_size_similarity}
+    possible, zero = F.lit(True), F.lit(False)
+    for name, limit in gates.items():
+        if scored or limit is not None:
+            possible &= F.col(name).isNotNull()
+        if limit is not None and limit > 0:
+            possible &= F.coalesce(F.col(name) != 0, F.lit(False))
+        zero |= F.coalesce(F.col(name) == 0, F.lit(False))
     unplaced = _number("lat").isNull() | _number("lon").isNull()
     return (
         df.dropna(subset=list(config.block))
@@ -87,7 +97,8 @@ def comparable(df: DataFrame, config: MatchConfig) -> DataFrame:
             F.md5(text).alias("text_key"),
             F.xxhash64(text).alias("text_a"), F.xxhash64(F.lit(1), text).alias("text_b"),
         )
-        .where((F.col("price") != 0) & (F.col("size") != 0))
+        .where(possible)
+        .withColumn("apart", F.when(zero, F.col("listing_id")))
     )
 
 
@@ -106,7 +117,7 @@ def fold(rows: DataFrame, config: MatchConfig) -> _Folded:
     The points take one narrow shuffle, before which the rows of a point combine per task; only rows that share
     their point with others are looked at again.
     """
-    spot = [*config.block, "lat", "lon", "price", "size"]
+    spot = [*config.block, "lat", "lon", "price", "size", "apart"]
     if not config.equal_numbers_match:
         spot.append("text_key")  # equal numbers alone are no match then, so only copies share a point
     several_texts = [F.min(t) != F.max(t) for t in ("text_a", "text_b")]
@@ -121,7 +132,7 @@ def fold(rows: DataFrame, config: MatchConfig) -> _Folded:
     if shared.isEmpty():
         return _Folded(points)
     shared = materialize(shared, "shared-points")
-    same_spot = [rows[c].eqNullSafe(shared[c]) if c in ("lat", "lon") else rows[c] == shared[c] for c in spot]
+    same_spot = [rows[c].eqNullSafe(shared[c]) if c not in config.block else rows[c] == shared[c] for c in spot]
     located = materialize(
         rows.join(shared, same_spot).select("point_id", "crowded", rows["text_key"], "listing_id"), "located"
     )
@@ -224,7 +235,8 @@ def gated_points(points: DataFrame, config: MatchConfig) -> DataFrame:
 
 def gated_pairs(df: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
     """(id_a, id_b, price_similarity, size_similarity) of points past the gates, named by their least listing."""
-    return gated_points(fold(comparable(df, config), config).points, config).drop("crowded")
+    rows = comparable(df, config, scored=False)
+    return gated_points(fold(rows, config).points, config).drop("crowded")
 
 
 def _with_score(pairs: DataFrame, config: MatchConfig) -> DataFrame:

@@ -150,7 +150,7 @@ def compare_fraud_methods(
     both = flag_metrics(flags).withColumn("method", F.lit("naive")).unionByName(
         flag_metrics(flags, "model_flag").withColumn("method", F.lit("model"))
     )
-    both = both.withColumn("true_suspicious", total.scalar())
+    both = both.withColumn("true_suspicious", total.scalar()).withColumn("model_threshold", dbl(threshold))
 
     def of(method: str, column: str) -> Column:
         return F.max(F.when(F.col("method") == method, F.col(column)))

@@ -134,16 +134,25 @@ def regression_metrics(
 
 
 def heldout_predictions(test: DataFrame) -> DataFrame:
-    return test.select(F.col(TARGET).alias("actual"), F.bround("raw_prediction", 0).alias("predicted"), "area")
+    return test.select(
+        "listing_id", F.col(TARGET).alias("actual"), F.bround("raw_prediction", 0).alias("predicted"), "area"
+    )
+
 
+def fit_price_model(
+    clean: DataFrame, params: ModelParams = ModelParams(), written: bool = False, parallel: int = 2
+) -> FittedModel:
+    """Fit on 80 %, measure on the rest, and fit on all clean rows; the two fits are independent jobs.
 
-def fit_price_model(clean: DataFrame, params: ModelParams = ModelParams()) -> FittedModel:
-    """Fit on 80 %, measure on the rest, then refit on all clean rows."""
-    clean = materialize(clean, "clean")
+    ``clean`` is read by every round of both fits; unless it is ``written`` already, it is written first.
+    """
+    clean = clean if written else materialize(clean, "clean")
     train, test = train_test_split(clean)
-    tested = materialize(predict(fit(train, params), test), "heldout")
+    with ThreadPoolExecutor(parallel) as pool:
+        whole = pool.submit(fit, clean, params)
+        tested = materialize(predict(pool.submit(fit, train, params).result(), test), "heldout")
     metrics = regression_metrics(tested, TARGET, "raw_prediction").withColumn("n_train", F.lit(train.count()))
-    return FittedModel(fit(clean, params), metrics, heldout_predictions(tested))
+    return FittedModel(whole.result(), metrics, heldout_predictions(tested))
 
 
 def feature_importances(model: PipelineModel, scored: DataFrame) -> DataFrame:
@@ -189,8 +198,9 @@ def score_out_of_fold(
     train = materialize(
         rows.join(clean.select("listing_id"), "listing_id", "left_semi"), "fold-training"
     )
-    if rows.select(unit_key()).distinct().limit(folds).count() < folds:
-        raise ValueError(f"fewer than {folds} units: every fold needs at least one")
+    sizes = {r["fold"]: r["n"] for r in train.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if empty := sorted(set(range(folds)) - sizes.keys()):
+        raise ValueError(f"no clean unit in fold {', '.join(map(str, empty))} of {folds}")
     with ThreadPoolExecutor(parallel) as pool:
         models = list(pool.map(lambda k: fit(train.where(F.col("fold") != k), params), range(folds)))
     parts = [score_all(model, rows.where(F.col("fold") == k)) for k, model in enumerate(models)]

@@ -26,3 +26,8 @@ def exact_duplicates(df: DataFrame, keys: Sequence[str] = EXACT_KEYS) -> DataFra
 def invalid_prices(df: DataFrame, price: str = "price_aed_month") -> DataFrame:
     """One row: rows with a price of 0 or less; a null price is not counted."""
     return df.agg(F.count_if(F.col(price) <= 0).alias("invalid_price_rows"))
+
+
+def total_rows(df: DataFrame) -> DataFrame:
+    """One row: the rows of the batch."""
+    return df.agg(F.count(F.lit(1)).alias("total_rows"))

@@ -19,9 +19,6 @@ BEDROOM_LIMITS = (0, 10)
 AGE_LIMITS = (0, 100)
 FLOOR_LIMITS = (0, 200)
 
-# Types are a model category: each one is a column of the one-hot vector, so a table past this bound is an error.
-MAX_TYPES = 1_000
-
 
 def area_table(df: DataFrame) -> DataFrame:
     """(area, lat, lon): the mean place of each area's listings."""
@@ -43,37 +40,27 @@ def type_table(df: DataFrame) -> DataFrame:
     )
 
 
-def _type_options(types: DataFrame) -> Column:
-    """The type table as one array literal, after a check of its bound."""
-    rows = types.orderBy("property_type").limit(MAX_TYPES + 1).collect()
-    if len(rows) > MAX_TYPES:
-        raise ValueError(f"more than {MAX_TYPES} property types")
-    return F.array(*[
-        F.struct(
-            F.lit(r["property_type"]).alias("property_type"),
-            F.lit(r["default_bedrooms"]).cast("int").alias("bedrooms"),
-            F.lit(r["min_size"]).cast("double").alias("min_size"),
-            F.lit(r["max_size"]).cast("double").alias("max_size"),
-            F.lit(r["is_tower"]).cast("int").alias("is_tower"),
-        )
-        for r in rows
-    ])
-
-
 def _default_floor(is_tower: Column) -> Column:
     return F.when(is_tower == 1, F.lit(TOWER_FLOOR)).otherwise(F.lit(0))
 
 
 def grid_points(areas: DataFrame, types: DataFrame, steps: int = GRID_SIZES) -> DataFrame:
     """Every area with every type, ``steps`` evenly spaced sizes and both furnishings, other features at defaults."""
-    per_type = areas.select("area", "lat", "lon", F.explode(_type_options(types)).alias("t"))
-    sized = per_type.select("area", "lat", "lon", "t", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("i"))
-    size = F.col("t.min_size") + F.col("i") * ((F.col("t.max_size") - F.col("t.min_size")) / dbl(steps - 1))
+    # The product of the two tables is what the grid is; a constant key lets Spark broadcast the smaller one, if
+    # it is small, or shuffle both.
+    every = F.lit(0).alias("_all")
+    per_type = areas.select("area", "lat", "lon", every).join(types.select(
+        "property_type", F.col("default_bedrooms").cast("int").alias("bedrooms"),
+        F.col("min_size").cast("double").alias("low"), F.col("max_size").cast("double").alias("high"),
+        F.col("is_tower").cast("int").alias("is_tower"), every,
+    ), "_all")
+    sized = per_type.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))))
+    size = F.col("low") + F.col("i") * ((F.col("high") - F.col("low")) / dbl(steps - 1))
     return sized.select(
-        "area", "lat", "lon", F.col("t.property_type").alias("property_type"), F.col("t.bedrooms").alias("bedrooms"),
+        "area", "lat", "lon", "property_type", "bedrooms",
         F.bround(size, 0).cast("int").alias("size_sqft"),
         F.lit(DEFAULT_AGE).alias("building_age_years"),
-        _default_floor(F.col("t.is_tower")).alias("floor"),
+        _default_floor(F.col("is_tower")).alias("floor"),
         F.explode(F.array(F.lit(0), F.lit(1))).alias("furnished"),
     )
 
@@ -154,8 +141,8 @@ def score_requests(requests: DataFrame, model: PipelineModel, threshold: float =
 def interpolate_grid(requests: DataFrame, grid: DataFrame) -> DataFrame:
     """``estimate``: linear between the grid sizes next to the asked size, the end value outside the grid.
 
-    The grid is folded to one row per area, type and furnishing first, so requests are joined once and not
-    multiplied by the grid sizes.
+    The grid is folded to one row per area, type and furnishing first (``GRID_SIZES`` points in the grids made here),
+    so requests are joined once and not multiplied by the grid sizes.
     """
     key = ["area", "property_type", "furnished"]
     point = F.struct(F.col("size_sqft").cast("double").alias("size"),

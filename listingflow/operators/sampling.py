@@ -4,19 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listingflow.functions.ordering import with_row_index
+from listingflow.session import materialize
 
 FEED_LENGTH = 60
 
 
-def systematic_sample(df: DataFrame, order: Sequence[Column], length: int = FEED_LENGTH) -> DataFrame:
-    """Every k-th row in ``order`` from the first on, k so that about ``length`` rows remain; with ``position``."""
-    indexed = with_row_index(df, order, "position")
+def systematic_sample(
+    df: DataFrame, order: Sequence[str], key: str, length: int = FEED_LENGTH
+) -> DataFrame:
+    """Every k-th row in ascending ``order`` from the first on, k so that about ``length`` rows remain; with
+    ``position``.
+
+    Only the order columns and ``key``, which names a row, are sorted; the few picked keys then meet the whole rows.
+    """
+    slim = df.select(*dict.fromkeys([*order, key]))
+    indexed = with_row_index(slim, [F.asc_nulls_last(c) for c in order], "position")
     step = max(1, indexed.count() // length)
-    return indexed.where(F.col("position") % step == 0)
+    picked = materialize(indexed.where(F.col("position") % step == 0).select(key, "position"), "picked")
+    return df.join(picked, key)
 
 
 def latency_summary(df: DataFrame, column: str) -> DataFrame:

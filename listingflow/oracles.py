@@ -6,8 +6,9 @@ one, so the folded and counted Spark forms are checked against the plain ones.
 
 from __future__ import annotations
 
-from listingflow.fixtures import LISTINGS_SQL, SCORED_SQL
+from listingflow.fixtures import CROWDED_SQL, LISTINGS_SQL, SCORED_SQL
 from listingflow.functions.text import ENGLISH_STOP_WORDS
+from listingflow.sources.schema import STAGING_COLUMNS, STAGING_TYPES
 
 _LISTINGS = "listings AS (" + LISTINGS_SQL.format(orders="orders", nation="nation", part="part") + ")"
 _SCORED = "scored AS (" + SCORED_SQL.format(listings="listings", nation="nation") + ")"
@@ -25,7 +26,8 @@ def _distance(a: str, b: str, per_degree: str = "111000.0") -> str:
 
 
 def _ratio(a: str, b: str) -> str:
-    return f"(1 - LEAST(ABS({a} - {b}) / CAST(GREATEST({a}, {b}) AS DOUBLE), CAST(1 AS DOUBLE)))"
+    either = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN NULLIF(CAST(GREATEST({a}, {b}) AS DOUBLE), 0) END"
+    return f"(1 - CASE WHEN ABS({a} - {b}) / {either} > 1 THEN CAST(1 AS DOUBLE) ELSE ABS({a} - {b}) / {either} END)"
 
 
 _PSIM = _ratio("a.price_aed_month", "b.price_aed_month")
@@ -68,7 +70,7 @@ weights AS (SELECT {key}, token, w / SQRT(SUM(w * w) OVER (PARTITION BY {key}))
 
 
 _WEIGHTS = _weights("listings", "listing_id", "area, property_type, bedrooms", _TEXT)
-_SIMILAR = f"""{_GATED},
+_SCORED_PAIRS = f"""
 {_WEIGHTS},
 dots AS (
   SELECT g.id_a, g.id_b, SUM(x.weight * y.weight) AS dot
@@ -84,6 +86,7 @@ matched AS (
     SELECT id_a, id_b, CAST(0.45 AS DOUBLE) * tsim + CAST(0.30 AS DOUBLE) * psim + CAST(0.25 AS DOUBLE) * ssim AS score
     FROM likened)
   WHERE score >= CAST(0.55 AS DOUBLE))"""
+_SIMILAR = f"{_GATED},{_SCORED_PAIRS}"
 
 
 def _components(edges: str) -> str:
@@ -96,9 +99,10 @@ reach(id, low) AS (
 components AS (SELECT id, MIN(low) AS component FROM reach GROUP BY id)"""
 
 
+_MEMBERS = f"""{_components("matched")},
+members AS (SELECT id AS listing_id, 'cluster_' || CAST(component AS VARCHAR) AS dup_cluster_id FROM components)"""
 _CLUSTERS = f"""{_SIMILAR},
-{_components("matched")},
-members AS (SELECT id AS listing_id, 'cluster_' || CAST(component AS VARCHAR) AS dup_cluster_id FROM components),
+{_MEMBERS},
 clusters AS (
   SELECT dup_cluster_id AS cluster_id, COUNT(*) AS n_members, MIN(listing_id) AS first_id, MAX(listing_id) AS last_id
   FROM members GROUP BY dup_cluster_id)"""
@@ -214,6 +218,15 @@ naive AS (
   SELECT l.listing_id, CAST(l.price_aed_month < m.median * CAST(0.65 AS DOUBLE) AS INT) AS flag
   FROM listings l JOIN medians m USING (area, property_type))"""
 
+_CLEAN = """
+clean AS (
+  SELECT *, CAST('0x' || SUBSTR(MD5(CAST(listing_id AS VARCHAR) || ':42'), 1, 8) AS BIGINT) % 1000 < 200 AS test
+  FROM (
+    SELECT s.*, ROW_NUMBER() OVER (PARTITION BY COALESCE(s.dup_cluster_id, 'L' || CAST(s.listing_id AS VARCHAR))
+                                   ORDER BY s.listed_date, s.listing_id) AS i
+    FROM scored s JOIN naive n USING (listing_id) WHERE n.flag = 0)
+  WHERE i = 1)"""
+
 _BUCKET = "CAST('0x' || SUBSTR(MD5({key}), 1, 8) AS BIGINT)"
 
 
@@ -226,6 +239,29 @@ def _listings(sql: str, *ctes: str) -> str:
     return "WITH RECURSIVE " + ",\n".join([_LISTINGS, *ctes]) + "\n" + sql
 
 
+def _crowded_map(*gates: str) -> str:
+    """Clusters of the hard listings from all pairs of a block; a place that is not known rejects no pair."""
+    base = "base AS (" + LISTINGS_SQL.format(orders="orders", nation="nation", part="part") + ")"
+    hard = "listings AS (" + CROWDED_SQL.format(listings="base") + ")"
+    gated = f"gated AS ({_pairs(f'COALESCE({_GEO}, TRUE)', *gates)})"
+    return ("WITH RECURSIVE " + ",\n".join([base, hard, gated]) + f",{_SCORED_PAIRS},\n{_MEMBERS}\n"
+            "SELECT listing_id, dup_cluster_id FROM members")
+
+
+def _json(column: str) -> str:
+    """A staged value as JSON; doubles as Java prints them."""
+    kind = STAGING_TYPES[column]
+    if kind == "double":
+        small = f"ABS({column}) < 0.001 AND {column} <> 0"
+        tiny = f"CAST(CAST(ROUND({column} * 10000) AS INT) AS VARCHAR) || '.0E-4'"
+        text = f"CASE WHEN {small} THEN {tiny} ELSE CAST({column} AS VARCHAR) END"
+    elif kind in ("string", "date"):
+        text = f"'\"' || CAST({column} AS VARCHAR) || '\"'"
+    else:
+        text = f"CAST({column} AS VARCHAR)"
+    return f"'\"{column}\":' || COALESCE({text}, 'null')"
+
+
 def _scored(sql: str, *ctes: str) -> str:
     return _listings(sql, _SCORED, *ctes)
 
@@ -275,9 +311,10 @@ FROM listings l, (SELECT CAST(25.1972 AS DOUBLE) AS lat, CAST(55.2744 AS DOUBLE)
 SELECT listing_id, CAST(YEAR(listed_date) AS INT) AS year, CAST(MONTH(listed_date) AS INT) AS month,
        CAST(DAY(listed_date) AS INT) AS day, CAST(STRFTIME(listed_date, '%Y%m%d') AS INT) AS date_id FROM listings"""),
         "month_label": _listings("SELECT listing_id, STRFTIME(listed_date, '%Y-%m') AS month FROM listings"),
-        "row_hash": _scored("""
-SELECT (SELECT COUNT(*) FROM scored) AS n_rows, COUNT(*) AS n_hashes
-FROM (SELECT DISTINCT title, area, price_aed_month, size_sqft, lat, dup_cluster_id FROM scored)"""),
+        "row_hash": _scored(f"""
+SELECT listing_id, SHA1('{{' || {" || ',' || ".join(_json(c) for c in STAGING_COLUMNS)} || '}}') AS row_hash
+FROM (SELECT *, CAST(dup_cluster_id IS NOT NULL AS INT) AS is_duplicate,
+             CAST(residual_pct <= CAST(-0.30 AS DOUBLE) AS INT) AS is_flagged_fraud FROM scored)"""),
         "derive_flags": _scored("""
 SELECT listing_id, COALESCE(dup_cluster_id, '') AS dup_cluster_id,
        CAST(dup_cluster_id IS NOT NULL AS INT) AS is_duplicate,
@@ -316,6 +353,8 @@ SELECT doc_id, token, ROUND(weight, 4) AS weight FROM weights""",
 SELECT m.listing_id, c.cluster_id, c.n_members, c.first_id, c.last_id
 FROM members m JOIN clusters c ON c.cluster_id = m.dup_cluster_id""", _CLUSTERS),
         "find_duplicates_pairs": _listings("SELECT id_a, id_b, ROUND(score, 4) AS score FROM matched", _SIMILAR),
+        "crowded_map": _crowded_map(_PRICE, _SIZE),
+        "crowded_map_open_price": _crowded_map(_SIZE),
         "find_duplicates_map": _listings("SELECT listing_id, dup_cluster_id FROM members", _CLUSTERS),
         "cluster_review_members": _listings("""
 SELECT c.cluster_id, c.n_members, l.listing_id, l.title, l.area, l.price_aed_month, l.size_sqft,
@@ -373,7 +412,8 @@ SELECT method, {_COUNTED}, precision, recall, f1, (SELECT CAST(SUM(is_suspicious
        ROUND((SELECT precision FROM both_methods WHERE method = 'model')
              - (SELECT precision FROM both_methods WHERE method = 'naive'), 4) AS precision_gain,
        ROUND((SELECT f1 FROM both_methods WHERE method = 'model')
-             - (SELECT f1 FROM both_methods WHERE method = 'naive'), 4) AS f1_gain
+             - (SELECT f1 FROM both_methods WHERE method = 'naive'), 4) AS f1_gain,
+       CAST(-0.30 AS DOUBLE) AS model_threshold
 FROM both_methods""", _NAIVE, f"""
 both_methods AS (
   SELECT 'naive' AS method, *, {_prf("tp", "fp", "fn")}
@@ -388,6 +428,7 @@ both_methods AS (
         "exact_duplicates": _listings("""
 SELECT CAST(SUM(n - 1) AS BIGINT) AS exact_duplicate_rows
 FROM (SELECT COUNT(*) AS n FROM listings GROUP BY title, area, price_aed_month)"""),
+        "total_rows": _listings("SELECT COUNT(*) AS total_rows FROM listings"),
         "invalid_prices": _listings(
             "SELECT COUNT(*) AS invalid_price_rows FROM listings WHERE price_aed_month - 2000 <= 0"),
 
@@ -408,18 +449,55 @@ FROM listings l""", _NAIVE),
 SELECT ROUND(AVG(ABS(y - p)), 1) AS mae, ROUND(AVG(ABS(y - p) / ABS(y)), 4) AS mape,
        ROUND(1 - SUM((y - p) * (y - p)) / (VAR_POP(y) * COUNT(*)), 4) AS r2, COUNT(*) AS n_test
 FROM (SELECT CAST(price_aed_month AS DOUBLE) AS y, predicted_price_aed_month AS p FROM scored)"""),
+        "model_identities": _listings("""
+SELECT listing_id, price_aed_month, TRUE AS absolute_holds, TRUE AS relative_holds, TRUE AS same_after_reload
+FROM listings"""),
+        "model_quality": _scored(f"""
+SELECT COUNT(*) FILTER (WHERE NOT test) AS n_train, COUNT(*) FILTER (WHERE test) AS n_test, TRUE AS good FROM clean""",
+                                 _NAIVE, _CLEAN),
+        "heldout_rows": _scored("""
+SELECT listing_id, price_aed_month AS actual, area, TRUE AS near FROM clean WHERE test""", _NAIVE, _CLEAN),
+        "importance_summary": _listings("""
+SELECT COUNT(*) AS n_features, TRUE AS sum_is_one, 'size_sqft' AS first
+FROM (VALUES ('area'), ('property_type'), ('bedrooms'), ('size_sqft'), ('building_age_years'), ('floor'),
+             ('furnished'), ('distance_to_center_km')) v(f)"""),
+        "out_of_fold_units": _scored(f"""
+SELECT fold, COUNT(*) AS n_rows, COUNT(DISTINCT unit) AS n_units, CAST(0 AS BIGINT) AS n_elsewhere, TRUE AS good
+FROM (SELECT {_BUCKET.format(key=unit)} % 5 AS fold, {unit} AS unit FROM scored) GROUP BY fold"""),
+        "grid_prices": _listings(
+            "SELECT area, property_type, size_sqft, furnished, TRUE AS priced FROM grid", _GRID),
+        "request_identities": _scored("""
+SELECT listing_id, TRUE AS flag_holds, TRUE AS suspicion_holds FROM asked WHERE area <> 'Atlantis'""", _REQUESTS),
+        "stream_is_batch": _listings("SELECT listing_id, TRUE AS same FROM listings"),
         "group_folds": _scored(f"SELECT listing_id, {_BUCKET.format(key=unit)} % 5 AS fold FROM scored"),
         "grid_points": _listings("SELECT * FROM grid", _GRID),
         "prepare_requests": _scored("""
-SELECT q.listing_id, q.area, q.property_type, q.size_sqft,
-       CASE WHEN a.area IS NULL THEN -1 ELSE COALESCE(q.bedrooms, t.default_bedrooms) END AS bedrooms, q.furnished,
-       CASE WHEN a.area IS NULL THEN -1 ELSE 8 END AS building_age_years,
-       CASE WHEN a.area IS NULL THEN -1
-            ELSE COALESCE(q.floor, CASE WHEN t.is_tower = 1 THEN 15 ELSE 0 END) END AS floor,
-       COALESCE(a.lat, -1) AS lat, COALESCE(a.lon, -1) AS lon,
-       CASE WHEN a.area IS NULL THEN 'unknown area' ELSE '' END AS reason
-FROM asked q LEFT JOIN areas a ON a.area = q.area JOIN types t ON t.property_type = q.property_type""",
-                                    _REQUESTS, _AREAS, _TYPES),
+SELECT listing_id, area, property_type, CASE WHEN reason <> '' THEN COALESCE(size_sqft, -1) ELSE size_sqft END AS size_sqft,
+       CASE WHEN reason <> '' THEN -1 ELSE COALESCE(bedrooms, default_bedrooms) END AS bedrooms, furnished,
+       CASE WHEN reason <> '' THEN -1 ELSE COALESCE(building_age_years, 8) END AS building_age_years,
+       CASE WHEN reason <> '' THEN -1
+            ELSE COALESCE(floor, CASE WHEN is_tower = 1 THEN 15 ELSE 0 END) END AS floor,
+       CASE WHEN reason <> '' THEN -1 ELSE lat END AS lat, CASE WHEN reason <> '' THEN -1 ELSE lon END AS lon, reason
+FROM (
+  SELECT q.*, a.lat, a.lon, t.default_bedrooms, t.is_tower,
+         CASE WHEN a.area IS NULL THEN 'unknown area' WHEN t.property_type IS NULL THEN 'unknown property_type'
+              WHEN q.size_sqft IS NULL THEN 'size_sqft missing'
+              WHEN q.size_sqft <= 100 OR q.size_sqft > 20000 THEN 'size_sqft out of range'
+              WHEN q.bedrooms < 0 OR q.bedrooms > 10 THEN 'bedrooms out of range'
+              WHEN q.building_age_years < 0 OR q.building_age_years > 100 THEN 'building_age_years out of range'
+              WHEN q.floor < 0 OR q.floor > 200 THEN 'floor out of range'
+              WHEN q.price_aed_month <= 0 OR q.price_aed_month IS NULL THEN 'price_aed_month not positive'
+              ELSE '' END AS reason
+  FROM broken q LEFT JOIN areas a ON a.area = q.area LEFT JOIN types t ON t.property_type = q.property_type)""",
+                                    _REQUESTS, _AREAS, _TYPES, """
+broken AS (
+  SELECT listing_id, area, CASE WHEN listing_id % 101 = 1 THEN 'Castle' ELSE property_type END AS property_type,
+         CASE WHEN listing_id % 107 = 3 THEN NULL WHEN listing_id % 103 = 2 THEN -5 ELSE size_sqft END AS size_sqft,
+         CASE WHEN listing_id % 109 = 4 THEN 11 ELSE bedrooms END AS bedrooms, furnished,
+         CASE WHEN listing_id % 113 = 5 THEN 101 END AS building_age_years,
+         CASE WHEN listing_id % 127 = 6 THEN 201 ELSE floor END AS floor,
+         CASE WHEN listing_id % 131 = 7 THEN 0 ELSE price_aed_month END AS price_aed_month
+  FROM asked)"""),
         "judge_requests": _scored(f"""
 SELECT listing_id, p AS predicted_price_aed_month, round_even(price - p, 1) AS residual_aed, gap AS residual_pct,
        {_band("gap")} AS flag, CAST(gap <= CAST(-0.30 AS DOUBLE) AS INT) AS suspicious
@@ -466,7 +544,9 @@ FROM (SELECT listed_date FROM batch1 UNION ALL SELECT listed_date FROM batch2)""
         "soft_delete": _scored(
             "SELECT listing_id, agent_name, first_loaded, last_updated FROM fact2 WHERE is_active = 0", _LOADS),
         "reactivate": _scored(_FACT_COLUMNS + "fact3", _LOADS),
-        "load_batch": _scored(_FACT_COLUMNS + "fact1", _LOADS),
+        "load_batch": _scored(_FACT_COLUMNS + "f", """
+f AS (SELECT *, 1 AS is_active, '2026-01-01' AS first_loaded, '2026-01-01' AS last_updated FROM scored)"""),
+        "load_part": _scored(_FACT_COLUMNS + "fact1", _LOADS),
         "audit_run": _scored("\nUNION ALL\n".join(f"""
 SELECT CAST({n} AS BIGINT) AS run_id, '2026-01-0{n}' AS started, COUNT(s_id) AS rows_in_batch,
        COUNT(*) FILTER (WHERE change = 'inserted') AS rows_inserted,
@@ -482,8 +562,13 @@ UNION ALL SELECT 'dim_agent', COUNT(DISTINCT agent_name) FROM scored
 UNION ALL SELECT 'dim_date', COUNT(DISTINCT listed_date) FROM scored
 UNION ALL SELECT 'etl_runs', 4""", _LOADS),
         "ensure_version": _scored("""
-SELECT 'fact_listings' AS table_name, COUNT(*) AS n, 2 AS schema_version FROM scored
-UNION ALL SELECT 'fact_listings', 0, 3"""),
+SELECT table_name, CASE WHEN v = 3 THEN n ELSE 0 END AS n, CAST(v AS INT) AS schema_version
+FROM (SELECT 'fact_listings' AS table_name, COUNT(*) AS n FROM scored
+      UNION ALL SELECT 'dim_area', COUNT(DISTINCT area) FROM scored
+      UNION ALL SELECT 'dim_property_type', COUNT(DISTINCT property_type) FROM scored
+      UNION ALL SELECT 'dim_agent', COUNT(DISTINCT agent_name) FROM scored
+      UNION ALL SELECT 'dim_date', COUNT(DISTINCT listed_date) FROM scored
+      UNION ALL SELECT 'etl_runs', 1), (VALUES (3), (4)) versions(v)"""),
 
         "area_leaderboard": _scored(f"""
 SELECT area, ROUND(AVG(CASE WHEN flagged = 0 THEN {_PSF} END), 1) AS avg_price_per_sqft_annual,

@@ -7,17 +7,19 @@ from datetime import datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from listingflow.functions.columns import FRAUD_THRESHOLD
 from listingflow.operators import evaluate, model, quality, requests, review, sampling
 from listingflow.operators.dedup import Duplicates, MatchConfig, find_duplicates
 from listingflow.plans.analytics import QueryResult, run_all
 from listingflow.plans.load import LoadResult, load_batch, table_counts
-from listingflow.session import materialize
+from listingflow.session import materialize, work_path
 from listingflow.sources.listings import write_records
+from listingflow.streaming import scoring
 from listingflow.streaming.scoring import judge_feed
 
+STREAM_FILES = 8  # files of a micro-batch
+
 
 @dataclass(frozen=True)
 class FullRun:
@@ -32,6 +34,18 @@ class FullRun:
     queries: list[QueryResult]
 
 
+def _stream_latency(
+    spark: SparkSession, raw: DataFrame, price_model: PipelineModel, threshold: float, output: str
+) -> DataFrame:
+    """Scores the batch once more as a stream of its files; the latencies of its micro-batches."""
+    arrived, scored = work_path(spark, "arrived"), f"{output}/streamed_feed"
+    raw.write.parquet(arrived)
+    stream = scoring.arriving_listings(spark, arrived, raw.schema, max_files=STREAM_FILES)
+    feed = scoring.score_stream(stream, price_model, threshold)
+    scoring.write_feed(feed, scored, work_path(spark, "feed-checkpoint")).awaitTermination()
+    return sampling.latency_summary(scoring.batch_durations(spark, scored), "latency_ms")
+
+
 def run_full(
     spark: SparkSession, raw: DataFrame, warehouse: str, output: str,
     config: MatchConfig = MatchConfig(), params: model.ModelParams = model.ModelParams(),
@@ -42,14 +56,15 @@ def run_full(
 
     Duplicates and the cheap price flag come before training: the model may learn neither from one unit twice nor
     from prices that look false. The model goes to ``output``/model, JSON records to folders next to it.
+
+    ``raw`` is read by several steps, so it should be a stored table or a frame read from files as it is.
     """
-    raw = materialize(raw, "raw")
     found = find_duplicates(raw, config)
     labelled = model.with_clusters(raw, found.members)
     flags = materialize(evaluate.naive_price_flag(raw), "naive-flags")
     clean = materialize(model.clean_training_set(raw, found.members, flags), "clean")
 
-    fitted = model.fit_price_model(clean, params)
+    fitted = model.fit_price_model(clean, params, written=True)
     model.save_model(fitted.model, f"{output}/model")
     scored = materialize(model.score_out_of_fold(raw, clean, found.members, params=params), "scored")
     loaded = load_batch(spark, warehouse, scored, found.members, threshold, now)
@@ -59,11 +74,9 @@ def run_full(
     fraud_metrics = evaluate.compare_fraud_methods(raw, scored, threshold)
     transformed = fitted.model.transform(model.with_distance(raw))
     importances = model.feature_importances(fitted.model, transformed)
-    feed = judge_feed(
-        sampling.systematic_sample(
-            model.predict(fitted.model, raw), [F.asc_nulls_last("listed_date"), F.col("listing_id")]
-        )
-    )
+    # Only the picked listings are predicted.
+    sample = sampling.systematic_sample(raw, ["listed_date", "listing_id"], "listing_id")
+    feed = judge_feed(model.predict(fitted.model, sample))
     if areas is None:
         areas = materialize(requests.area_table(raw), "areas")
     if types is None:
@@ -76,6 +89,7 @@ def run_full(
         "field_completeness": quality.field_completeness(raw),
         "exact_duplicates": quality.exact_duplicates(raw),
         "invalid_prices": quality.invalid_prices(raw),
+        "total_rows": quality.total_rows(raw),
         "feature_importances": importances,
         "warehouse_counts": table_counts(loaded.warehouse),
         "etl_runs": loaded.warehouse.table("etl_runs"),
@@ -90,5 +104,6 @@ def run_full(
     }
     for name, rows in records.items():
         write_records(rows, f"{output}/{name}")
+    write_records(_stream_latency(spark, raw, fitted.model, threshold, output), f"{output}/stream_latency")
     return FullRun(found, duplicate_metrics, fitted.model, fitted.metrics, importances, scored,
                           fraud_metrics, loaded, queries)

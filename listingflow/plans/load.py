@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingflow.functions.columns import FRAUD_THRESHOLD, date_key, date_parts, dbl, nan_to_null, row_hash
@@ -15,7 +15,9 @@ from listingflow.functions.ordering import with_row_index
 from listingflow.operators.model import with_clusters
 from listingflow.session import materialize
 from listingflow.sources.schema import SCHEMA_VERSION, STAGING_COLUMNS, STAGING_TYPES, WAREHOUSE_TABLES
-from listingflow.sources.store import Warehouse, commit, next_version, open_warehouse, write_table
+from listingflow.sources.store import (
+    FACTS, Warehouse, bucket_of, commit, new_attempt, next_version, open_warehouse, write_buckets, write_table,
+)
 
 # (dimension, its id, its natural key, the staged column)
 MEMBER_DIMENSIONS = (
@@ -202,36 +204,50 @@ def load_batch(
     spark: SparkSession, path: str, scored: DataFrame, members: DataFrame | None,
     threshold: float = FRAUD_THRESHOLD, now: datetime | None = None, schema_version: int = SCHEMA_VERSION,
 ) -> LoadResult:
-    """Load one batch: all tables of the next version, then its commit. One loader at a time per warehouse."""
+    """Load one batch: what it changes, then the commit. A load that another one overtook fails at its commit.
+
+    Changes are found on ids, hashes and states alone. Only the fact buckets in which something changed are read
+    whole, merged and written; an unchanged batch writes no fact at all.
+    """
     started = (now or datetime.now(timezone.utc)).replace(microsecond=0)
     old = open_warehouse(spark, path, schema_version)
     version = next_version(spark, path)
+    attempt = new_attempt(version)
 
     accepted, rejected = split_batch(materialize(build_staging(scored, members, threshold), "staging"))
     rejected = materialize(rejected, "rejected")
 
     grown = upsert_dimensions({name: old.table(name) for name in DIMENSIONS}, accepted)
     with ThreadPoolExecutor(len(grown)) as pool:  # independent small writes
-        dims = dict(zip(grown, pool.map(
-            lambda name: write_table(spark, path, version, name, grown[name]), grown
+        parts = dict(zip(grown, pool.map(
+            lambda name: write_table(spark, path, attempt, name, grown[name]), grown
         )))
+    dims = {name: Warehouse(spark, path, version, parts).table(name) for name in grown}
+
+    # At most one row per bucket and kind of change.
+    changes = classify_changes(old.table(FACTS), accepted).groupBy(
+        bucket_of("listing_id", old.buckets).alias("bucket"), "change"
+    ).count().collect()
+    counts = {f"rows_{kind}": sum(r["count"] for r in changes if r["change"] == kind)
+              for kind in ("inserted", "updated", "unchanged", "deactivated")}
+    touched = sorted({r["bucket"] for r in changes if r["change"] in ("inserted", "updated", "deactivated")})
+    parts[FACTS] = dict(old.parts.get(FACTS, {}))
+    if touched:
+        arriving = accepted
+        if len(touched) < old.buckets:
+            arriving = accepted.where(bucket_of("listing_id", old.buckets).isin(touched))
+        merged = merge_facts(
+            old.table(FACTS, map(str, touched)), resolve_keys(arriving, dims), _utc(started)
+        )
+        parts[FACTS] |= write_buckets(spark, path, attempt, merged, old.buckets)
 
-    # The counts come from the very rows that are written.
-    changes = Observation()
-    merged = merge_facts(old.table("fact_listings"), resolve_keys(accepted, dims), _utc(started)).observe(
-        changes,
-        *[F.count_if(F.col("change") == kind).alias(f"rows_{kind}")
-          for kind in ("inserted", "updated", "unchanged", "deactivated")],
-    )
-    write_table(spark, path, version, "fact_listings", merged)
-    counts = changes.get
     loaded = sum(counts[f"rows_{kind}"] for kind in ("inserted", "updated", "unchanged"))
     lost = rejected.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n")).first()["n"]
     run = {**counts, "rows_in_batch": loaded + lost, "rows_rejected": lost}
     finished = now or datetime.now(timezone.utc)
     runs, row = audit_run(old.table("etl_runs"), run, started, finished)
-    write_table(spark, path, version, "etl_runs", runs)
-    return LoadResult(commit(spark, path, version, schema_version), row, rejected)
+    parts["etl_runs"] = write_table(spark, path, attempt, "etl_runs", runs)
+    return LoadResult(commit(spark, path, version, parts, schema_version, old.buckets), row, rejected)
 
 
 def table_counts(warehouse: Warehouse) -> DataFrame:

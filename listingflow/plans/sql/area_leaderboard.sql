@@ -2,14 +2,14 @@
 -- posting leaves the unit out of the average. Only clustered rows are ranked: any other row is its own unit.
 WITH earliest AS (
   SELECT area_id, price_aed_month, size_sqft, is_flagged_fraud
-  FROM fact_listings
+  FROM {fact_listings}
   WHERE is_active = 1 AND dup_cluster_id IS NULL
   UNION ALL
   SELECT area_id, price_aed_month, size_sqft, is_flagged_fraud
   FROM (
     SELECT area_id, price_aed_month, size_sqft, is_flagged_fraud,
            ROW_NUMBER() OVER (PARTITION BY dup_cluster_id ORDER BY date_id, listing_id) AS nth_posting
-    FROM fact_listings
+    FROM {fact_listings}
     WHERE is_active = 1 AND dup_cluster_id IS NOT NULL)
   WHERE nth_posting = 1),
 per_area AS (
@@ -25,5 +25,5 @@ SELECT a.area_name AS area,
        p.clean_units,
        p.flagged_fraud
 FROM per_area p
-JOIN dim_area a ON a.area_id = p.area_id
+JOIN {dim_area} a ON a.area_id = p.area_id
 ORDER BY avg_price_per_sqft_annual DESC, area

@@ -2,14 +2,14 @@
 -- are left out first, then each unit counts in the month of its earliest remaining posting.
 WITH earliest AS (
   SELECT date_id, price_aed_month, size_sqft
-  FROM fact_listings
+  FROM {fact_listings}
   WHERE is_active = 1 AND is_flagged_fraud = 0 AND dup_cluster_id IS NULL
   UNION ALL
   SELECT date_id, price_aed_month, size_sqft
   FROM (
     SELECT date_id, price_aed_month, size_sqft,
            ROW_NUMBER() OVER (PARTITION BY dup_cluster_id ORDER BY date_id, listing_id) AS nth_posting
-    FROM fact_listings
+    FROM {fact_listings}
     WHERE is_active = 1 AND is_flagged_fraud = 0 AND dup_cluster_id IS NOT NULL)
   WHERE nth_posting = 1),
 monthly AS (
@@ -17,7 +17,7 @@ monthly AS (
          COUNT(*) AS new_units,
          AVG(e.price_aed_month * CAST(12 AS DOUBLE) / NULLIF(e.size_sqft, 0)) AS psf
   FROM earliest e
-  JOIN dim_date d ON d.date_id = e.date_id
+  JOIN {dim_date} d ON d.date_id = e.date_id
   GROUP BY d.year, d.month),
 compared AS (
   SELECT year, month, new_units, psf, LAG(psf) OVER (ORDER BY year, month) AS before

@@ -3,24 +3,44 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from listingflow.sources.schema import LISTING_SCHEMA
 
 
+_BROKEN = "_broken"
+
+
+def _read_csv(spark: SparkSession, path: str, schema: str, multiline: bool) -> DataFrame:
+    # RFC 4180 quoting: a quote inside a quoted field is doubled. Without column pruning a line is judged by all its
+    # fields, whatever is selected later.
+    return spark.read.schema(f"{schema}, {_BROKEN} string").csv(
+        path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN, escape='"', multiLine=multiline,
+        enforceSchema=True, columnPruning=False,
+    )
+
+
 def read_listings(
     spark: SparkSession, path: str, schema: str = LISTING_SCHEMA, fmt: str = "csv", multiline: bool = False
 ) -> DataFrame:
     """Listings from CSV with a header, or from Parquet; the schema is never inferred.
 
-    A malformed CSV value fails the read instead of turning into a null. With ``multiline``, quoted fields may hold
-    line breaks; each file is then read by one task, so such a feed should come as many files. Without it a large
-    file is split, and a line break inside quotes fails the read.
+    Lines that do not fit the schema are left out here and returned by ``rejected_lines``; no value turns into a null
+    silently. With ``multiline``, quoted fields may hold line breaks; each file is then read by one task, so such a
+    feed should come as many files. Without it a large file is split, and a record with a line break inside quotes
+    ends up among the rejected lines.
     """
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        # RFC 4180 quoting: a quote inside a quoted field is doubled.
-        return reader.csv(path, header=True, mode="FAILFAST", escape='"', multiLine=multiline, enforceSchema=False)
-    return reader.format(fmt).load(path)
+    if fmt != "csv":
+        return spark.read.schema(schema).format(fmt).load(path)
+    return _read_csv(spark, path, schema, multiline).where(F.col(_BROKEN).isNull()).drop(_BROKEN)
+
+
+def rejected_lines(
+    spark: SparkSession, path: str, schema: str = LISTING_SCHEMA, multiline: bool = False
+) -> DataFrame:
+    """(file, line): the text of each CSV line that ``read_listings`` leaves out."""
+    lines = _read_csv(spark, path, schema, multiline).withColumn("file", F.col("_metadata.file_path"))
+    return lines.where(F.col(_BROKEN).isNotNull()).select("file", F.col(_BROKEN).alias("line"))
 
 
 def write_records(df: DataFrame, path: str) -> None:

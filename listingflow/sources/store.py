@@ -1,19 +1,29 @@
-"""Warehouse tables as Parquet under versioned folders.
-
-A load writes every table to a new version folder and then one commit record; the newest commit names the folder
-that readers use. A load that fails before its commit leaves the former version as it was.
+"""Warehouse tables as Parquet folders that commit records name.
+
+A load writes into a folder of its own and then creates one commit record, a small JSON file that says for every
+table which folders make it up. The record's name is its version and it is created only if it does not exist: of two
+loads that started from the same version one fails, and what the other committed stays. The facts lie in buckets by a
+hash of their id, one folder each, so a load writes the buckets it changes and its record names the others where they
+already are. Versions stay readable until ``expire`` removes them. Creating a file only once is a property of HDFS and
+of local and mounted folders; on a store without it, run one loader at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+import json
+import uuid
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from listingflow.sources.schema import SCHEMA_VERSION, WAREHOUSE_TABLES
 
-_COMMIT_SCHEMA = "version bigint, schema_version int"
+FACTS = "fact_listings"
+# Buckets of the facts of a new warehouse; a load rewrites whole buckets, and a record lists them all.
+BUCKETS = 64
+_WHOLE = "all"
 
 
 @dataclass(frozen=True)
@@ -23,62 +33,136 @@ class Warehouse:
     spark: SparkSession
     path: str
     version: int
-
-    def table(self, name: str) -> DataFrame:
+    # table -> part -> folder below ``path``; the parts of the facts are their buckets
+    parts: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    buckets: int = BUCKETS
+
+    def table(self, name: str, parts: Iterable[str] | None = None) -> DataFrame:
+        """A whole table, or only the named parts of it."""
+        there = self.parts.get(name, {})
+        folders = [there[p] for p in (sorted(there) if parts is None else parts) if p in there]
         schema = WAREHOUSE_TABLES[name]
-        if self.version == 0:
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(_table_path(self.path, self.version, name))
+        return self.spark.read.schema(schema).parquet(*(f"{self.path}/{f}" for f in folders))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in WAREHOUSE_TABLES}
 
 
-def _table_path(path: str, version: int, name: str) -> str:
-    return f"{path}/versions/{version}/{name}"
+def bucket_of(listing_id: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(listing_id).cast("bigint")), F.lit(buckets)).cast("int")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
 
+def _commits(spark: SparkSession, path: str) -> list[int]:
+    """All versions for which there is a record, ascending."""
+    fs, folder = _file_system(spark, f"{path}/commits")
+    if not fs.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    return sorted(int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit())
 
-def _last_commit(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(version, schema version) of the newest commit; a commit folder without its record does not count."""
-    if not _exists(spark, f"{path}/commits"):
-        return 0, SCHEMA_VERSION
-    commits = spark.read.schema(_COMMIT_SCHEMA).json(f"{path}/commits/*")
-    row = commits.selectExpr("max(struct(version, schema_version)) AS last").first()
-    return (row["last"]["version"], row["last"]["schema_version"]) if row["last"] else (0, SCHEMA_VERSION)
+
+def _record(spark: SparkSession, path: str, version: int) -> dict | None:
+    """The commit record; None for one whose writing broke off."""
+    text = "".join(r["value"] for r in spark.read.text(f"{path}/commits/{version}.json").collect())
+    try:
+        return json.loads(text)
+    except ValueError:
+        return None
 
 
 def open_warehouse(spark: SparkSession, path: str, schema_version: int = SCHEMA_VERSION) -> Warehouse:
     """The newest committed state; a warehouse committed under another schema version is taken as empty."""
-    version, written_as = _last_commit(spark, path)
-    return Warehouse(spark, path, version if written_as == schema_version else 0)
+    for version in reversed(_commits(spark, path)):
+        if (record := _record(spark, path, version)) is not None:
+            if record["schema_version"] != schema_version:
+                break
+            return Warehouse(spark, path, version, record["parts"], record["buckets"])
+    return Warehouse(spark, path, 0)
 
 
 def next_version(spark: SparkSession, path: str) -> int:
-    return _last_commit(spark, path)[0] + 1
+    return max(_commits(spark, path), default=0) + 1
 
 
-def write_table(spark: SparkSession, path: str, version: int, name: str, df: DataFrame) -> DataFrame:
-    """Write one table of an uncommitted version with its fixed columns and types; returns it read back.
+def new_attempt(version: int) -> str:
+    """The folder of one load, below the warehouse's path. Another attempt at the same version has its own."""
+    return f"loads/{version}-{uuid.uuid4().hex}"
 
-    Leftovers of a load that failed under the same number are replaced.
-    """
-    target = _table_path(path, version, name)
+
+def _typed(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     empty = spark.createDataFrame([], WAREHOUSE_TABLES[name])
-    typed = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in empty.schema.fields])
-    typed.write.mode("overwrite").parquet(target)
-    return spark.read.schema(WAREHOUSE_TABLES[name]).parquet(target)
+    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in empty.schema.fields])
 
 
-def commit(spark: SparkSession, path: str, version: int, schema_version: int = SCHEMA_VERSION) -> Warehouse:
-    """Make a fully written version the current one. The record appears when Spark's committer renames its file."""
-    record = spark.range(1).selectExpr(f"{version}L AS version", f"{schema_version} AS schema_version").coalesce(1)
-    record.write.mode("overwrite").json(f"{path}/commits/{version}")
-    return Warehouse(spark, path, version)
+def write_table(spark: SparkSession, path: str, attempt: str, name: str, df: DataFrame) -> dict[str, str]:
+    """Write one table whole with its fixed columns and types; returns its parts."""
+    folder = f"{attempt}/{name}"
+    _typed(spark, name, df).write.parquet(f"{path}/{folder}")
+    return {_WHOLE: folder}
+
+
+def write_buckets(
+    spark: SparkSession, path: str, attempt: str, facts: DataFrame, buckets: int
+) -> dict[str, str]:
+    """Write facts by bucket; returns the part of every bucket that has rows."""
+    folder = f"{attempt}/{FACTS}"
+    rows = _typed(spark, FACTS, facts).withColumn("bucket", bucket_of("listing_id", buckets))
+    # One or a few files per bucket: a rebalanced partition holds whole buckets, and large ones are split.
+    rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{path}/{folder}")
+    fs, target = _file_system(spark, f"{path}/{folder}")
+    names = [status.getPath().getName() for status in fs.listStatus(target)]
+    return {n.removeprefix("bucket="): f"{folder}/{n}" for n in names if n.startswith("bucket=")}
+
+
+def commit(
+    spark: SparkSession, path: str, version: int, parts: Mapping[str, Mapping[str, str]],
+    schema_version: int = SCHEMA_VERSION, buckets: int = BUCKETS,
+) -> Warehouse:
+    """Make the written parts the current version; ``FileExistsError`` if another load committed it before."""
+    record = {"version": version, "schema_version": schema_version, "buckets": buckets, "parts": parts}
+    fs, target = _file_system(spark, f"{path}/commits/{version}.json")
+    try:
+        out = fs.create(target, False)
+    except Exception as error:  # the class differs by file system
+        if fs.exists(target):
+            raise FileExistsError(f"version {version} of {path} was committed by another load") from error
+        raise
+    try:
+        out.write(bytearray(json.dumps(record).encode()))
+    finally:
+        out.close()
+    return Warehouse(spark, path, version, parts, buckets)
+
+
+def expire(spark: SparkSession, path: str, keep: int = 10) -> int:
+    """Remove all but the last ``keep`` versions and the folders that only they name; returns how many went.
+
+    Folders of loads newer than the oldest version kept stay, committed or not.
+    """
+    versions = _commits(spark, path)
+    kept, old = versions[-keep:], versions[:-keep]
+    if not old:
+        return 0
+    named = {
+        "/".join(folder.split("/")[:2])
+        for v in kept if (record := _record(spark, path, v)) for parts in record["parts"].values() for folder in parts.values()
+    }
+    for version in old:
+        fs, target = _file_system(spark, f"{path}/commits/{version}.json")
+        fs.delete(target, False)
+    fs, loads = _file_system(spark, f"{path}/loads")
+    for status in fs.listStatus(loads):
+        name = status.getPath().getName()
+        if f"loads/{name}" not in named and int(name.split("-")[0]) < kept[0]:
+            fs.delete(status.getPath(), True)
+    return len(old)
 
 
 def write_all(
@@ -86,6 +170,7 @@ def write_all(
 ) -> Warehouse:
     """Write a full set of tables as a new version and commit it."""
     version = next_version(spark, path)
-    for name in WAREHOUSE_TABLES:
-        write_table(spark, path, version, name, tables[name])
-    return commit(spark, path, version, schema_version)
+    attempt = new_attempt(version)
+    parts = {name: write_table(spark, path, attempt, name, tables[name]) for name in WAREHOUSE_TABLES if name != FACTS}
+    parts[FACTS] = write_buckets(spark, path, attempt, tables[FACTS], BUCKETS)
+    return commit(spark, path, version, parts, schema_version)

@@ -18,21 +18,21 @@ def found_clusters(result):
     return {k: sorted(v) for k, v in out.items()}
 
 
-DRIFTED = {"price_aed_month": 9200, "size_sqft": 805, "lat": 25.0806, "agent_name": "Omar Farouk",
-           "title": "1BR Apartment in Dubai Marina, Sea View, Spacious"}
+DRIFTED = {"price_aed_month": 6130, "size_sqft": 604, "lon": 2.1541, "agent_name": "Agency Sud",
+           "title": "By the pier: a corner flat"}
 
 # case -> (rows, expected clusters, expected pairs). Each case is a block of its own, so one run answers all.
 CASES = {
     "repost with small drift": ([listing(1), listing(2, **DRIFTED)], [[1, 2]], {(1, 2)}),
-    "five kilometres apart": ([listing(11), listing(12, lat=25.1255)], [], set()),
+    "five kilometres apart": ([listing(11), listing(12, lat=41.435)], [], set()),
     "other bedrooms": ([listing(21), listing(22, bedrooms=2)], [], set()),
-    "chain": ([listing(31), listing(32, price_aed_month=9100, size_sqft=802),
-               listing(33, price_aed_month=9200, size_sqft=805)],
+    "chain": ([listing(31), listing(32, price_aed_month=6070, size_sqft=602),
+               listing(33, price_aed_month=6130, size_sqft=604)],
               [[31, 32, 33]], {(31, 32), (31, 33), (32, 33)}),
     "equal numbers need no common word": ([listing(41, title="alpha", description=None),
                                            listing(42, title=None, description="omega")], [[41, 42]], {(41, 42)}),
     "drift needs a common word": ([listing(51, title="alpha", description="beta"),
-                                   listing(52, title="gamma", description="delta", price_aed_month=9100)], [], set()),
+                                   listing(52, title="gamma", description="delta", price_aed_month=6070)], [], set()),
     "copies hang on the least id": ([listing(i) for i in (67, 63, 69, 65)], [[63, 65, 67, 69]],
                                     {(63, 65), (63, 67), (63, 69)}),
     "no price": ([listing(71, price_aed_month=None), listing(72, price_aed_month=None)], [], set()),
@@ -67,7 +67,7 @@ def test_scores_and_cluster_names(cases):
 def test_pairs_are_counted_per_block_without_forming_them(spark):
     df = listings(spark, listing(1), listing(2), listing(3), listing(4, bedrooms=2), listing(5, area=None))
     rows = {(r.area, r.bedrooms): (r.n_listings, int(r.n_pairs)) for r in block_sizes(df).collect()}
-    assert rows == {("Dubai Marina", 1): (3, 3), ("Dubai Marina", 2): (1, 0)}
+    assert rows == {("Harbour East", 1): (3, 3), ("Harbour East", 2): (1, 0)}
 
 
 def random_rows(rng, n, near=True):
@@ -104,6 +104,28 @@ def test_clusters_equal_those_of_all_pairs(spark, seed, hot_rows):
     check_against_plain(spark, rows, MatchConfig(hot_rows=hot_rows))
 
 
+@pytest.mark.parametrize("gates", [
+    {"min_price_similarity": None}, {"min_size_similarity": None}, {"max_distance_m": None},
+    {"min_price_similarity": None, "min_size_similarity": None, "max_distance_m": None},
+    {"min_price_similarity": None, "threshold": 0.65},
+])
+def test_open_gates_keep_zeros_and_nulls_apart(spark, gates):
+    rng = random.Random(10)
+    rows = random_rows(rng, 150)
+    for r in rows:
+        r["size_sqft"] = rng.choice([r["size_sqft"]] * 4 + [0])
+    check_against_plain(spark, rows, MatchConfig(hot_rows=6, **gates))
+
+
+def test_a_price_of_zero_matches_by_text_and_size_alone(spark):
+    rows = [listing(1, price_aed_month=0), listing(2), listing(3, price_aed_month=0), listing(4, price_aed_month=None)]
+    got = {(r.id_a, r.id_b): r.score for r in find_duplicates(
+        listings(spark, *rows), MatchConfig(min_price_similarity=None)).pairs.collect()}
+    assert got == {(1, 2): 0.7, (2, 3): 0.7}
+    gated = gated_pairs(listings(spark, *rows), MatchConfig(min_price_similarity=None, min_size_similarity=None))
+    assert {(r.id_a, r.id_b) for r in gated.collect()} == {(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4)}
+
+
 @pytest.mark.parametrize("threshold", [0.6, 0.8])
 def test_clusters_with_a_threshold_that_needs_words(spark, threshold):
     rows = random_rows(random.Random(4), 200)
@@ -172,8 +194,8 @@ def test_no_edges_give_no_components(spark):
 
 
 def test_review_and_sample(spark):
-    rows = [listing(1), listing(2, price_aed_month=9100), listing(3, price_aed_month=9200)]
-    rows += [listing(10, lat=26.0), listing(11, lat=26.0, price_aed_month=9050), listing(20, lat=27.0)]
+    rows = [listing(1), listing(2, price_aed_month=6070), listing(3, price_aed_month=6130)]
+    rows += [listing(10, lat=26.0), listing(11, lat=26.0, price_aed_month=6030), listing(20, lat=27.0)]
     df = listings(spark, *rows)
     result = find_duplicates(df)
     assert [(r.cluster_id, r.listing_id) for r in review.review_members(df, result).collect()] == [

@@ -58,10 +58,10 @@ def test_quality(spark):
 
 
 def test_every_kth_row_from_the_first(spark):
-    df = spark.range(1000).select((1000 - F.col("id")).alias("v"))
-    rows = sampling.systematic_sample(df, [F.col("v")], 60).collect()
+    df = spark.range(1000).select((1000 - F.col("id")).alias("v"), F.lit("wide").alias("text"))
+    rows = sampling.systematic_sample(df, ["v"], "v", 60).collect()
     assert sorted(r.v for r in rows) == [1 + 16 * i for i in range(63)]
-    assert sampling.systematic_sample(df.limit(5), [F.col("v")], 60).count() == 5
+    assert sampling.systematic_sample(df.limit(5), ["v"], "v", 60).count() == 5
 
 
 def test_latency_positions(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from builders import listing, listings, members
 from listingflow.operators import model, requests
-from listingflow.sources.domain import AREAS, PROPERTY_TYPES, default_areas, default_types
+from domain import AREAS, PROPERTY_TYPES, default_areas, default_types
 from listingflow.streaming import scoring
 from listingflow.session import work_path
 
@@ -136,6 +136,12 @@ def test_grid_covers_every_combination(spark):
     assert studio[0] == [380, 414, 448, 482, 516, 550] and studio[1] == 15
 
 
+def test_grid_of_very_many_types(spark):
+    types = spark.range(1500).selectExpr(
+        "concat('type', id) AS property_type", "1 AS default_bedrooms", "100 AS min_size", "200 AS max_size", "0 AS is_tower")
+    assert requests.grid_points(default_areas(spark), types).count() == 12 * 1500 * 6 * 2
+
+
 def test_bad_requests_are_rejected_with_a_reason(spark):
     df = ask(spark, ("Dubai Marina", "1BR Apartment", 800.0), ("Atlantis",), ("Dubai Marina", "Castle"),
              ("Dubai Marina", "1BR Apartment", -5.0), ("Dubai Marina", None), ("Dubai Marina", "Villa", None),
@@ -207,17 +213,30 @@ def test_stream_gives_the_rows_of_the_batch(spark, market, fitted):
         stream = scoring.arriving_listings(spark, arrived, market.schema, max_files=1)
         query = scoring.write_feed(scoring.score_stream(stream, fitted.model), out, checkpoint)
         query.awaitTermination()
-        return query
 
-    first = run()
-    assert scoring.batch_durations(first).agg(F.sum("n_rows")).first()[0] == 500
+    run()
+    took = scoring.batch_durations(spark, out)
+    assert took.agg(F.sum("n_rows"), F.min("latency_ms") >= 0).first() == (500, True)
     market.where("listing_id >= 500").write.mode("append").parquet(arrived)
     run()  # only the files that arrived since
-    got = spark.read.parquet(out).orderBy("listing_id").collect()
+    got = spark.read.parquet(out).drop("scored_at").orderBy("listing_id").collect()
     want = scoring.score_stream(market, fitted.model).orderBy("listing_id").collect()
     assert got == want and len(got) == market.count()
 
 
+def test_every_micro_batch_keeps_its_duration(spark, market):
+    """More micro-batches than the progress that Spark keeps."""
+    arrived, out = work_path(spark, "arrived"), work_path(spark, "feed")
+    rows = market.limit(330).withColumn("raw_prediction", F.lit(5000.0))
+    rows.repartition(110).write.parquet(arrived)
+    n_files = len(spark.read.parquet(arrived).inputFiles())
+    stream = scoring.arriving_listings(spark, arrived, rows.schema, max_files=1)
+    scoring.write_feed(scoring.judge_feed(stream), out, work_path(spark, "checkpoint")).awaitTermination()
+    took = scoring.batch_durations(spark, out)
+    assert n_files > 100 and took.count() == n_files
+    assert took.agg(F.sum("n_rows")).first()[0] == 330
+
+
 def test_feed_band_uses_the_unrounded_gap(spark):
     row = listing(1, price_aed_month=7000)
     df = listings(spark, row).withColumn("raw_prediction", F.lit(9999.7))
