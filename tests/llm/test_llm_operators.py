@@ -91,7 +91,7 @@ def test_prints_three_bits_apart_share_a_key():
         assert same.any(axis=0).all()
 
 
-@pytest.mark.parametrize("limit", [8_192, 3])
+@pytest.mark.parametrize("limit", [8_192, 40])
 def test_groups_equal_those_of_all_pairs(spark, limit):
     rng = np.random.default_rng(7)
     centre = rng.integers(0, 1 << 62, 12, dtype=np.uint64)
