@@ -46,10 +46,12 @@ def distance_to_center_km(lat="lat", lon="lon", center: tuple[float, float] = CE
 
 
 def ratio_similarity(a, b) -> Column:
-    """1 for equal values, falling with their relative gap to 0; null when the larger value is 0."""
+    """1 for equal values, falling with their relative gap to 0; 0 next to a smaller value is 0, two zeros are null."""
     a, b = _col(a).cast("double"), _col(b).cast("double")
-    gap = F.abs(a - b) / F.nullif(F.greatest(a, b), dbl(0))
-    return F.when(a.isNotNull() & b.isNotNull() & gap.isNotNull(), dbl(1) - F.least(gap, dbl(1)))
+    larger = F.greatest(a, b)
+    gap = F.abs(a - b) / F.nullif(larger, dbl(0))
+    known = a.isNotNull() & b.isNotNull()
+    return F.when(known & (larger == 0) & (a != b), dbl(0)).when(known & gap.isNotNull(), dbl(1) - F.least(gap, dbl(1)))
 
 
 def date_parts(date="listed_date") -> dict[str, Column]:
