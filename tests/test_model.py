@@ -228,7 +228,7 @@ def test_every_micro_batch_keeps_its_duration(spark, market):
     """More micro-batches than the progress that Spark keeps."""
     arrived, out = work_path(spark, "arrived"), work_path(spark, "feed")
     rows = market.limit(330).withColumn("raw_prediction", F.lit(5000.0))
-    rows.repartition(110).write.parquet(arrived)
+    rows.repartition(103).write.parquet(arrived)
     n_files = len(spark.read.parquet(arrived).inputFiles())
     stream = scoring.arriving_listings(spark, arrived, rows.schema, max_files=1)
     scoring.write_feed(scoring.judge_feed(stream), out, work_path(spark, "checkpoint")).awaitTermination()
