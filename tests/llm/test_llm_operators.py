@@ -395,6 +395,18 @@ def test_passages_are_found_whole(make_docs):
     assert passages.passages(make_docs([])).count() == 0
 
 
+def test_periodic_passages_are_found_whole(make_docs):
+    line, verse = prose(70, 9), prose(71, 30)
+    texts = {
+        1: "la " * 60, 2: prose(72, 40) + " " + "la " * 60, 3: (line + " ") * 20, 4: (line + " ") * 20,
+        5: prose(73, 30) + " " + (verse + " ") * 8, 6: (verse + " ") * 8 + prose(74, 30), 7: (line + " ") * 50,
+    }
+    rows = passages.passages(make_docs([*texts.items()])).collect()
+    assert {(2, 1, 40, 100), (4, 3, 0, 180), (6, 5, 0, 240)} <= {(r.doc_id, r.other_id, r.start, r.end) for r in rows}
+    longer = [(r.start, r.end) for r in rows if (r.doc_id, r.other_id) == (7, 3)]
+    assert {i for s, e in longer for i in range(s, e)} == set(range(450))
+
+
 # --- quality classifier
 
 def test_scores_separate_held_out_documents(spark, make_docs):
