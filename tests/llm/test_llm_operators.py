@@ -407,6 +407,30 @@ def test_periodic_passages_are_found_whole(make_docs):
     assert {i for s, e in longer for i in range(s, e)} == set(range(450))
 
 
+def test_every_run_found_earlier_is_covered(make_docs):
+    run = prose(80, 80).split()
+    texts = [prose(81, 30) + " " + " ".join(run[:44]), " ".join(run[40:]) + " " + prose(82, 30)]
+    # Every part of 49 words was there before, no run of 50.
+    texts += [" ".join(run[i : i + 49]) for i in range(0, 32)]
+    texts += [prose(83, 20) + " " + " ".join(run), " ".join(run) + " " + prose(84, 25)]
+    # Later ones too have parts only; then the whole once more, and one whose ends do not align.
+    texts += [" ".join(run[:44]), " ".join(run[40:]), prose(85, 15) + " " + " ".join(run) + " " + prose(86, 15)]
+    texts += [prose(87, 60) + " " + " ".join(run[15:65]) + " " + prose(88, 60)]
+    docs = make_docs([*enumerate(texts)])
+    rows = passages.passages(docs).collect()
+    words = [t.split() for t in texts]
+    covered = {(r.doc_id, i) for r in rows for i in range(r.start, r.end)}
+    seen, missed = {}, []
+    for doc, w in enumerate(words):
+        for i in range(len(w) - 49):
+            key = tuple(w[i : i + 50])
+            if seen.setdefault(key, doc) < doc and not all((doc, j) in covered for j in range(i, i + 50)):
+                missed.append((doc, i))
+    assert not missed
+    assert {(35, 34, 0, 80), (38, 34, 15, 95), (39, 34, 60, 110)} <= {(r.doc_id, r.other_id, r.start, r.end) for r in rows}
+    assert len({(r.doc_id, r.other_id) for r in rows}) == len(rows)
+
+
 # --- quality classifier
 
 def test_scores_separate_held_out_documents(spark, make_docs):
