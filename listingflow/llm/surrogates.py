@@ -15,6 +15,12 @@ All of it is DataFrame functions. Units meet their surrogates through a join of
 any personal data are not shuffled, and texts that have some are shuffled once. Texts are told apart by their
 digest, so copies are looked up once.
 
+What is found: e-mail addresses; hexadecimal keys of 32 to 128 digits; IBANs; phone numbers with a leading +, with an
+area code in brackets, in groups of 3-3-4 digits, or with a leading 0 and separators (9 to 12 digits); IPv4 and IPv6
+addresses; card numbers of 13 to 19 digits; numbers of 3-2-4 digits; names of one or two words behind one or more of the
+titles below. Not found: names without such a title, postal addresses, dates of birth, phone numbers without any
+separator, + or bracket, IPv6 addresses without a decimal digit, and keys in other alphabets.
+
 Defined cases: null texts stay null, texts without personal data stay byte for byte. Rows are kept one to one,
 repeated or not, whatever their id; other columns pass through. An empty table gives an empty table.
 """
@@ -30,14 +36,19 @@ from pyspark.sql import functions as F
 from listingflow.session import materialize
 
 # Titles with the gender they tell, names by gender and script, syllables by script.
-MALE_TITLES = ("Mr", "Sir", "Herr", "Señor", "Monsieur", "Господин")
-FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Madame", "Mademoiselle", "Госпожа")
+MALE_TITLES = ("Mr", "Sir", "Lord", "Herr", "Señor", "Signor", "Monsieur", "Господин")
+FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Lady", "Madam", "Frau", "Fräulein", "Señora", "Señorita", "Signora", "Madame",
+                 "Mademoiselle", "Госпожа")
+OTHER_TITLES = ("Dr", "Doctor", "Prof", "Professor", "Rev", "Mx", "Доктор", "Профессор")
+_ALL_TITLES = MALE_TITLES + FEMALE_TITLES + OTHER_TITLES
 GIVEN_NAMES = {
     ("male", "latin"): ("adam", "carlos", "daniel", "erik", "felix", "henry", "jonas", "louis", "martin", "oscar", "peter", "thomas"),
     ("female", "latin"): ("anna", "clara", "diana", "elena", "emma", "julia", "laura", "maria", "nina", "paula", "sofia", "vera"),
     ("male", "cyrillic"): ("андрей", "борис", "виктор", "дмитрий", "иван", "максим", "николай", "павел", "сергей", "юрий"),
     ("female", "cyrillic"): ("анна", "вера", "дарья", "елена", "ирина", "мария", "наталья", "ольга", "софия", "татьяна"),
 }
+for _script in ("latin", "cyrillic"):
+    GIVEN_NAMES["any", _script] = GIVEN_NAMES["male", _script] + GIVEN_NAMES["female", _script]
 SYLLABLES = {
     "latin": ("ba", "be", "bo", "da", "de", "do", "fa", "fe", "ga", "go", "ka", "ke", "ko", "la", "le", "lo",
               "ma", "me", "mo", "na", "ne", "no", "pa", "po", "ra", "re", "ro", "sa", "se", "so", "ta", "to"),
@@ -45,25 +56,34 @@ SYLLABLES = {
                  "ма", "ме", "мо", "на", "не", "но", "па", "по", "ра", "ре", "ро", "са", "се", "со", "та", "то"),
 }
 ENDINGS = {("male", "latin"): "n", ("female", "latin"): "na", ("male", "cyrillic"): "н", ("female", "cyrillic"): "на",
-           ("family", "latin"): "r", ("family", "cyrillic"): "в"}
+           ("any", "latin"): "s", ("any", "cyrillic"): "с", ("family", "latin"): "r", ("family", "cyrillic"): "в"}
 
 _NAME = r"\p{Lu}\p{L}{1,30}"
-_TITLES = "|".join(MALE_TITLES + FEMALE_TITLES)
+_TITLES = "|".join(_ALL_TITLES)
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}+\.){1,10}[A-Za-z]{2,24}"
 SECRET = r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
 ACCOUNT = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"
-PERSON = rf"(?=[{''.join(sorted({t[0] for t in MALE_TITLES + FEMALE_TITLES}))}])(?<!\p{{L}})(?:{_TITLES})\.? {_NAME}(?: {_NAME})?"
+PERSON = rf"(?=[{''.join(sorted({t[0] for t in _ALL_TITLES}))}])(?<!\p{{L}})(?:(?:{_TITLES})\.? )+{_NAME}(?: {_NAME})?"
 PHONE = (r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
-         r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])")
+         r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+         r"|\(0[0-9]{1,4}\) ?[0-9]{3,8}(?:[ -][0-9]{2,4}){0,2}(?![0-9])")
 ADDRESS = r"(?<![0-9]\.)(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])"
 SOCIAL = r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+# Tried last. Dates, and groups that go on like an address or a longer number, are none.
+NATIONAL = (r"(?<![0-9][.-])(?:(?:1[ .-])?(?:[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}\.[0-9]{3}\.[0-9]{4}|[0-9]{3} [0-9]{3} [0-9]{4})"
+            r"|(?!0[0-9][./-][0-9]{2}[./-][0-9]{4}(?![0-9]))(?=0(?:[ ./-]?[0-9]){8,11}(?![0-9]))"
+            r"0[0-9]{1,4}(?:[ ./-][0-9]{2,8}){1,4})(?![0-9]|[.-][0-9])")
+_HEX = r"[0-9A-Fa-f]{1,4}"
+_QUAD = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"
+ADDRESS_6 = (rf"(?=[0-9A-Fa-f]{{0,4}}:)(?=[A-Fa-f:]*[0-9])(?<!:)"
+             rf"(?:(?:(?:{_HEX}:){{6}}|(?:{_HEX}(?::{_HEX}){{0,4}})?::(?:{_HEX}:){{0,5}}){_QUAD}"
+             rf"|(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}(?::{_HEX}){{0,6}})?::(?:{_HEX}(?::{_HEX}){{0,6}})?)(?![0-9A-Za-z:])")
 CARD = r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 # One look back per character decides whether a word begins; all else is tried only there, or at a digit, + or (.
-PATTERN = (rf"(?<![A-Za-z0-9])(?:{EMAIL}|{SECRET}|{ACCOUNT}|{PERSON})"
-           rf"|(?=[0-9+(])(?<![0-9])(?:{PHONE}|{ADDRESS}|{SOCIAL}|{CARD})")
+PATTERN = (rf"(?<![A-Za-z0-9])(?:{EMAIL}|{SECRET}|{ACCOUNT}|{PERSON}|{ADDRESS_6})"
+           rf"|(?=[0-9+(])(?<![0-9])(?:{PHONE}|{ADDRESS}|{SOCIAL}|{CARD}|{NATIONAL})")
 # Every match has one of these. Plain searches for them are far cheaper than the pattern, so it is tried only after.
-_TITLE_STEMS = tuple(t for t in MALE_TITLES + FEMALE_TITLES if not any(
-    t != u and t.startswith(u) for u in MALE_TITLES + FEMALE_TITLES))
+_TITLE_STEMS = tuple(t for t in _ALL_TITLES if not any(t != u and t.startswith(u) for u in _ALL_TITLES))
 _HINTS = tuple("@0123456789") + _TITLE_STEMS
 
 _DIGITS_ONLY = ("phone", "social", "card")
@@ -77,12 +97,13 @@ def _kind(raw: Column) -> Column:
     """Kind of a whole match, by the first pattern that it is an instance of. Context plays no part here."""
     return (
         F.when(raw.contains("@"), "email")
+        .when(raw.contains(":"), "address6")
         .when(raw.rlike(_all("[0-9a-f]{32,128}|[0-9A-F]{32,128}")), "secret")
         .when(raw.rlike(r"^[A-Z]{2}[0-9]{2}"), "account")
         .when(raw.rlike(r"^[+(]"), "phone")
         .when(raw.rlike(_all(r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}")), "address")
         .when(raw.rlike(_all(r"[0-9]{3}-[0-9]{2}-[0-9]{4}")), "social")
-        .when(raw.rlike(r"^[0-9]"), "card")
+        .when(raw.rlike(r"^[0-9]"), F.when(F.length(F.regexp_replace(raw, "[^0-9]", "")) < 13, "phone").otherwise("card"))
         .otherwise("person")
     )
 
@@ -95,18 +116,22 @@ def entities(text: Column) -> Column:
 def _units(found: DataFrame) -> DataFrame:
     """One row per unit of the matches (digest, place, raw): sub, lead (text kept before it), kind, unit."""
     kind = _kind(F.col("raw"))
-    name = F.split(F.col("raw"), " ")
-    title = F.regexp_replace(name[0], r"\.", "")
-    gender = F.when(title.isin(*MALE_TITLES), "male").otherwise("female")
+    titles = F.regexp_extract("raw", rf"^(?:(?:{_TITLES})\.? )+(?=\p{{Lu}})", 0)
+    name = F.split(F.substr("raw", F.length(titles) + 1), " ")
+
+    def titled(known):
+        return titles.rlike(rf"(?<!\p{{L}})(?:{'|'.join(known)})(?!\p{{L}})")
+
+    gender = F.when(titled(MALE_TITLES), "male").when(titled(FEMALE_TITLES), "female").otherwise("any")
 
     def unit(lead, kind, value):
         return F.struct(lead.alias("lead"), kind.alias("kind"), value.alias("unit"))
 
     family = F.element_at(name, -1)
     units = F.when(kind != "person", F.array(unit(F.lit(""), kind, F.col("raw")))).when(
-        F.size(name) == 2, F.array(unit(F.concat(name[0], F.lit(" ")), F.lit("family"), family))
+        F.size(name) == 1, F.array(unit(titles, F.lit("family"), family))
     ).otherwise(F.array(
-        unit(F.concat(name[0], F.lit(" ")), gender, F.get(name, F.lit(1))), unit(F.lit(" "), F.lit("family"), family)
+        unit(titles, gender, F.get(name, F.lit(0))), unit(F.lit(" "), F.lit("family"), family)
     ))
     return found.select("digest", "place", F.posexplode(units).alias("sub", "u")).select(
         "digest", "place", "sub", "u.lead", "u.kind", "u.unit"
@@ -117,10 +142,22 @@ def _canonical(kind: Column, unit: Column) -> Column:
     return (
         F.when(kind.isin(*_DIGITS_ONLY), F.regexp_replace(unit, "[^0-9]", ""))
         .when(kind == "account", F.lower(F.replace(unit, F.lit(" "), F.lit(""))))
+        .when((kind == "address6") & ~unit.contains("."), _groups_of_four(F.lower(unit)))
         .otherwise(F.lower(unit))
     )
 
 
+def _groups_of_four(address: Column) -> Column:
+    """An IPv6 address with all eight groups of four digits."""
+    def groups(part):
+        return F.transform(F.filter(F.split(part, ":"), lambda g: g != ""), lambda g: F.lpad(g, 4, "0"))
+
+    left = groups(F.substring_index(address, "::", 1))
+    right = F.when(address.contains("::"), groups(F.substring_index(address, "::", -1))).otherwise(F.slice(left, 1, 0))
+    zeros = F.array_repeat(F.lit("0000"), F.greatest(8 - F.size(left) - F.size(right), F.lit(0)))
+    return F.array_join(F.concat(left, zeros, right), ":")
+
+
 def _chars(text: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substr(text, i, F.lit(1)))
 
@@ -171,6 +208,13 @@ def _address(address: Column, digest: Column) -> Column:
     return F.concat(private, tail)
 
 
+def _address_6(address: Column, digest: Column) -> Column:
+    """Private and link-local networks keep their first group, all others become global ones."""
+    first = F.when(address.rlike("^f[cde]"), F.substr(address, F.lit(1), F.lit(4))).otherwise(
+        F.concat(F.lit("2"), F.substr(digest, F.lit(2), F.lit(3))))
+    return F.concat(first, F.regexp_replace(F.substr(digest, F.lit(5), F.lit(28)), "(.{4})", ":$1"))
+
+
 def _made_up(syllables: tuple[str, ...], ending: str, digest: Column, n: Column) -> Column:
     known = F.array(*(F.lit(s) for s in syllables))
     return F.concat(F.array_join(F.transform(
@@ -185,7 +229,7 @@ def _name(kind: Column, canonical: Column, digest: Column, attempt: Column) -> C
     for script in ("latin", "cyrillic"):
         here = canonical.rlike(r"\p{IsCyrillic}") if script == "cyrillic" else ~canonical.rlike(r"\p{IsCyrillic}")
         out = F.when(here & (kind == "family"), _made_up(SYLLABLES[script], ENDINGS["family", script], digest, n)).otherwise(out)
-        for gender in ("male", "female"):
+        for gender in ("male", "female", "any"):
             listed = GIVEN_NAMES[gender, script]
             known = F.get(F.array(*(F.lit(x) for x in listed)), _byte(digest, F.lit(0)) % len(listed))
             made = _made_up(SYLLABLES[script], ENDINGS[gender, script], digest, n)
@@ -204,6 +248,7 @@ def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Co
     # Addresses at one host stay at one host.
     email = F.concat(_shaped(local, digest), F.lit("@"), _shaped(host, keyed(F.lit("host"), host)), last)
     prefix = F.when(F.length(canonical) > 10, F.length(canonical) - 10).otherwise(0)  # country code
+    prefix = F.greatest(prefix, F.when(canonical.startswith("0"), 1).otherwise(0))  # trunk prefix
     secret = F.array_join(F.transform(_chars(canonical), lambda c, i: _letter("0123456789abcdef", _byte(digest, i))), "")
     # Beyond 32 characters the digest repeats, so the second half is shifted by another one.
     other = keyed(kind, attempt.cast("string"), canonical, F.lit("more"))
@@ -220,6 +265,7 @@ def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Co
         .when(kind == "phone", F.concat(F.substr(canonical, F.lit(1), prefix),
                                         _shaped(F.substr(canonical, prefix + 1, F.length(canonical)), digest)))
         .when(kind == "address", _address(canonical, digest))
+        .when(kind == "address6", _address_6(canonical, digest))
         .when(kind == "card", _card(canonical, digest))
         .when(kind == "social", _shaped(canonical, digest))
         .otherwise(_name(kind, canonical, digest, attempt))
@@ -241,7 +287,7 @@ def _spelled(kind: Column, unit: Column, surrogate: Column) -> Column:
         F.when(kind.isin(*_DIGITS_ONLY), separated)
         .when(kind == "account", spaced)
         .when(kind.isin("email", "secret"), cased)
-        .when(kind == "address", surrogate)
+        .when(kind.isin("address", "address6"), surrogate)
         .when(unit == F.upper(unit), F.upper(surrogate)).otherwise(F.initcap(surrogate))
     )
 

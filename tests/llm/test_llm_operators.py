@@ -215,6 +215,32 @@ def test_surrogates_hide_keep_shape_and_are_consistent(make_docs):
     assert surrogates.replace(make_docs([]), "key").count() == 0
 
 
+PLAIN_PHONES = ["555-123-4567", "555.123.4567", "555 123 4567", "1-555-123-4567", "020 7946 0958", "0171 1234567",
+                "030/1234567", "06 12 34 56 78", "(020) 7946 0958", "(555) 123 4567"]
+IPV6 = ["2001:db8:85a3:0:0:8a2e:370:7334", "2001:db8:85a3::8a2e:370:7334", "fe80::1", "::1", "::ffff:192.0.2.128", "2001:DB8::"]
+NO_DATA = "on 01/02/2024 12 of 12:30:45, std::vector a::b, 01.02.2024 and 555-1234-567, 2024-01-02, 2.555.123.4567, 5 :: 6 Dr. no"
+
+
+def test_national_phones_ipv6_and_more_titles_are_replaced(make_docs):
+    titled = "Dr. John Smith and Prof. Dr. Jane Roe, Frau Dr. Meier; Dr John Smith"
+    found = PLAIN_PHONES + IPV6
+    docs = make_docs([*enumerate([f"call <{x}>, or" for x in found]), (100, titled), (101, NO_DATA)])
+    got = {r.doc_id: r for r in surrogates.replace(docs, "key").collect()}
+    assert [x for i, x in enumerate(found) if got[i].n_replaced != 1 or x in got[i].text] == []
+    digits = lambda t: re.sub("[0-9]", "9", t)
+    for i, x in enumerate(PLAIN_PHONES):
+        assert digits(got[i].text) == digits(f"call <{x}>, or") and (got[i].text[6] == "0") == (x[0] == "0")
+    import ipaddress
+
+    new = [got[len(PLAIN_PHONES) + i].text[6:-5] for i in range(len(IPV6))]
+    assert all(ipaddress.ip_address(x).version == 6 for x in new)
+    assert new[0] == new[1] and len(set(new)) == len(IPV6) - 1 and ipaddress.ip_address(new[2]).is_link_local
+    one, two, three, four = re.fullmatch(
+        r"Dr\. (\w+ \w+) and Prof\. Dr\. (\w+ \w+), Frau Dr\. (\w+); Dr (\w+ \w+)", got[100].text).groups()
+    assert one == four and not {*one.split(), *two.split(), three} & {"John", "Smith", "Jane", "Roe", "Meier"}
+    assert got[100].n_replaced == 4 and got[101].n_replaced == 0 and got[101].text == NO_DATA
+
+
 def test_surrogates_stay_distinct_where_they_would_collide(spark):
     names = [("male", f"name{c}{d}") for c in "abcdefghij" for d in "klmnopqrst"] + [("male", "adam"), ("male", "peter")]
     units = spark.createDataFrame(names, "kind string, canonical string")
