@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingflow.llm import (
-    decontaminate, licenses, mixing, passages, pu_quality, quality_rules, simhash, surrogates, token_counts, url_lists,
+    byte_pairs, collocations, conversations, decontaminate, licenses, mixing, passages, pu_quality, quality_rules, simhash,
+    surrogates, token_counts, url_lists,
 )
 
 # The key of the surrogates in the registered queries. A real run passes its own secret.
@@ -120,9 +121,45 @@ def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.score(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op11_bpe_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids and what they decode to, as digests."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = byte_pairs.encode(documents(spark, sf_dir).select("doc_id", "text"), path).drop("text")
+    return byte_pairs.decode(encoded, path).select(
+        "doc_id", byte_pairs.n_ids().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language whose words stand together most."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def damaged_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations with the contract's damage; a row that it drops stays with ``gone`` true, for its id."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    filled = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    damage = F.crc32(F.concat(filled["conv_id"], F.lit(":"), filled["turn"])) % 20
+    return rows.select(
+        "conv_id", "turn", (damage == 0).alias("gone"),
+        F.when(damage == 4, "user").otherwise(filled["role"]).alias("role"),
+        F.when(damage == 1, "").when(damage == 2, F.translate(filled["text"], ".!?", "")).otherwise(filled["text"]).alias("text"),
+        F.explode(F.when(damage == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))),
+    ).drop("col")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every damaged conversation's faults, its cheapest edits and the digest of what they leave."""
+    return conversations.repairs(damaged_conversations(spark, sf_dir), F.col("gone"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_fuzzy_passages, op2_source_mix, op3_simhash_golay, op4_pii_surrogates, op5_separator_scan, op6_url_lists,
         op7_rule_ledger, op8_decontaminate, op9_license_digests, op10_pu_quality,
+        op11_bpe_boundaries, op12_collocations, op13_conversation_repair,
     )
     return {f.__name__: f for f in named}

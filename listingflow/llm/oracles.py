@@ -159,8 +159,45 @@ FROM docs LEFT JOIN texts ON sha256({_canonical("lines")}) = texts.digest LEFT J
 """
 
 
+PHRASES = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM split GROUP BY lang),
+starts AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM split),
+spelled AS (SELECT lang, words, i, unnest(range(1, least(3, len(words) - i + 1) + 1)) AS k FROM starts),
+counted AS (
+    SELECT lang, words[i:i + k - 1] AS words, count(*) AS a FROM spelled GROUP BY ALL HAVING count(*) >= 10
+),
+cuts AS (SELECT lang, words, a, unnest(range(1, len(words))) AS k FROM counted WHERE len(words) > 1),
+scored AS (
+    SELECT c.lang, c.words, c.a, k, l.a AS l, r.a AS r,
+        (1000000::HUGEINT * c.a * c.a) // (l.a::HUGEINT * r.a) AS score
+    FROM cuts c
+    JOIN counted l ON l.lang = c.lang AND l.words = c.words[1:k]
+    JOIN counted r ON r.lang = c.lang AND r.words = c.words[k + 1:]
+),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+inner_pairs AS (
+    SELECT lang, words[i:i + 1] AS words, max(a) AS around
+    FROM (SELECT lang, words, a, unnest([1, 2]) AS i FROM counted WHERE len(words) = 3) GROUP BY ALL
+),
+kept AS (
+    SELECT w.lang, array_to_string(w.words, ' ') AS phrase, w.a, w.l, w.r, w.score
+    FROM worst w LEFT JOIN inner_pairs p ON p.lang = w.lang AND p.words = w.words
+    WHERE around IS NULL OR 100 * around < 50 * w.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase,
+    a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_url_lists": URL_LISTS, "op7_rule_ledger": RULE_LEDGER, "op8_decontaminate": DECONTAMINATE,
-        "op9_license_digests": license_digests(),
+        "op9_license_digests": license_digests(), "op12_collocations": PHRASES,
     }

@@ -90,3 +90,65 @@ def mix_targets(sizes_by_source):
             left -= out[s]
         free -= above
     return out
+
+
+def phrases(rows, least=10, longest=3, share=50, top=2000):
+    """Sorted (lang, rank, phrase, a, l, r, n, score) of (text, lang) rows."""
+    counts, totals, out = defaultdict(Counter), Counter(), []
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            counts[lang].update(tuple(words[i : i + k]) for k in range(1, longest + 1) for i in range(len(words) - k + 1))
+    for lang, f in counts.items():
+        able = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        around = Counter()
+        for p, a in able.items():
+            for k in range(2, len(p)):
+                for i in range(len(p) - k + 1):
+                    around[p[i : i + k]] = max(around[p[i : i + k]], a)
+        found = []
+        for p, a in able.items():
+            if around[p] and 100 * around[p] >= share * a:
+                continue
+            score, k = min((1_000_000 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            found.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        out += [(lang, i, p.decode(), -a, l, r, totals[lang], -s) for i, (s, a, p, l, r) in enumerate(sorted(found)[:top], 1)]
+    return sorted(out)
+
+
+def first_faults(rows):
+    seen, out = set(), []
+    for row in rows:
+        end = row[1].rstrip(" \t\n\x0b\x0c\r")[-1:]
+        out.append("blank" if not end else "duplicate" if row in seen else "" if end in ".!?" else "truncated")
+        seen.add(row)
+    return out
+
+
+def cheapest_edits(rows):
+    """(cost, audit, digest) of a short conversation of (role, text), from all ways to edit it."""
+    ways, faults = [], first_faults(rows)
+
+    def go(i, out, cost, audit):
+        if ways and cost > min(ways)[0]:
+            return
+        roles = [role[:1] for role, _ in out]
+        if i == len(rows) and all(roles) and re.fullmatch("(s?(ua)+)?", "".join(roles)):
+            ways.append((cost, audit, "\n".join(f"{r}:{t}" for r, t in out)))
+        if not audit.endswith("II"):
+            for role in ("user", "assistant"):
+                go(i, [*out, (role, "")], cost + 5, audit + "I")
+        if i < len(rows):
+            go(i + 1, out, cost + 2, audit + "D")
+            if faults[i] not in ("blank", "duplicate"):
+                more = cost + (5 if faults[i] == "truncated" else 0)
+                go(i + 1, [*out, rows[i]], more, audit + "K")
+                for role in ("user", "assistant"):
+                    go(i + 1, [*out, (role, rows[i][1])], more + 1, audit + "R")
+
+    ways.append((2 * len(rows), "D" * len(rows), ""))
+    go(0, [], 0, "")
+    cost, audit, text = min(ways)
+    return cost, audit, hashlib.sha256(text.encode()).hexdigest()
