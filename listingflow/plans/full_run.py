@@ -42,8 +42,9 @@ def _stream_latency(
     raw.write.parquet(arrived)
     stream = scoring.arriving_listings(spark, arrived, raw.schema, max_files=STREAM_FILES)
     feed = scoring.score_stream(stream, price_model, threshold)
-    scoring.write_feed(feed, scored, work_path(spark, "feed-checkpoint")).awaitTermination()
-    return sampling.latency_summary(scoring.batch_durations(spark, scored), "latency_ms")
+    progress = f"{output}/stream_progress"
+    scoring.run_feed(spark, scoring.write_feed(feed, scored, work_path(spark, "feed-checkpoint")), progress)
+    return sampling.latency_summary(scoring.batch_durations(spark, progress), "latency_ms")
 
 
 def run_full(

@@ -16,7 +16,7 @@ from listingflow.operators.model import with_clusters
 from listingflow.session import materialize
 from listingflow.sources.schema import SCHEMA_VERSION, STAGING_COLUMNS, STAGING_TYPES, WAREHOUSE_TABLES
 from listingflow.sources.store import (
-    FACTS, Warehouse, bucket_of, commit, new_attempt, next_version, open_warehouse, write_buckets, write_table,
+    FACTS, Warehouse, bucket_of, buckets_for, new_load, open_warehouse, point_to, write_table,
 )
 
 # (dimension, its id, its natural key, the staged column)
@@ -204,25 +204,23 @@ def load_batch(
     spark: SparkSession, path: str, scored: DataFrame, members: DataFrame | None,
     threshold: float = FRAUD_THRESHOLD, now: datetime | None = None, schema_version: int = SCHEMA_VERSION,
 ) -> LoadResult:
-    """Load one batch: what it changes, then the commit. A load that another one overtook fails at its commit.
+    """Load one batch: what it changes, then the pointer. A load that another one overtook fails at its pointer.
 
     Changes are found on ids, hashes and states alone. Only the fact buckets in which something changed are read
-    whole, merged and written; an unchanged batch writes no fact at all.
+    whole, merged and written; an unchanged batch writes no fact at all. Facts that have outgrown their buckets are
+    dealt out anew.
     """
     started = (now or datetime.now(timezone.utc)).replace(microsecond=0)
-    old = open_warehouse(spark, path, schema_version)
-    version = next_version(spark, path)
-    attempt = new_attempt(version)
+    old, load = open_warehouse(spark, path, schema_version), new_load()
 
     accepted, rejected = split_batch(materialize(build_staging(scored, members, threshold), "staging"))
     rejected = materialize(rejected, "rejected")
 
     grown = upsert_dimensions({name: old.table(name) for name in DIMENSIONS}, accepted)
     with ThreadPoolExecutor(len(grown)) as pool:  # independent small writes
-        parts = dict(zip(grown, pool.map(
-            lambda name: write_table(spark, path, attempt, name, grown[name]), grown
-        )))
-    dims = {name: Warehouse(spark, path, version, parts).table(name) for name in grown}
+        written = pool.map(lambda name: write_table(spark, path, load, name, grown[name]), grown)
+    loads = {name: by for part in written for name, by in part.items()}
+    dims = {name: Warehouse(spark, path, loads=loads).table(name) for name in grown}
 
     # At most one row per bucket and kind of change.
     changes = classify_changes(old.table(FACTS), accepted).groupBy(
@@ -230,24 +228,25 @@ def load_batch(
     ).count().collect()
     counts = {f"rows_{kind}": sum(r["count"] for r in changes if r["change"] == kind)
               for kind in ("inserted", "updated", "unchanged", "deactivated")}
+    buckets = buckets_for(sum(r["count"] for r in changes), old.buckets)
     touched = sorted({r["bucket"] for r in changes if r["change"] in ("inserted", "updated", "deactivated")})
-    parts[FACTS] = dict(old.parts.get(FACTS, {}))
-    if touched:
-        arriving = accepted
-        if len(touched) < old.buckets:
-            arriving = accepted.where(bucket_of("listing_id", old.buckets).isin(touched))
-        merged = merge_facts(
-            old.table(FACTS, map(str, touched)), resolve_keys(arriving, dims), _utc(started)
-        )
-        parts[FACTS] |= write_buckets(spark, path, attempt, merged, old.buckets)
+    facts = old.facts
+    if buckets != old.buckets:
+        merged = merge_facts(old.table(FACTS), resolve_keys(accepted, dims), _utc(started))
+        facts = write_table(spark, path, load, FACTS, merged, buckets)
+    elif touched:
+        arriving = accepted.where(bucket_of("listing_id", buckets).isin(touched)) if len(touched) < buckets else accepted
+        merged = merge_facts(old.table(FACTS, touched), resolve_keys(arriving, dims), _utc(started))
+        facts = {**old.facts, **write_table(spark, path, load, FACTS, merged, buckets)}
 
     loaded = sum(counts[f"rows_{kind}"] for kind in ("inserted", "updated", "unchanged"))
     lost = rejected.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n")).first()["n"]
     run = {**counts, "rows_in_batch": loaded + lost, "rows_rejected": lost}
     finished = now or datetime.now(timezone.utc)
     runs, row = audit_run(old.table("etl_runs"), run, started, finished)
-    parts["etl_runs"] = write_table(spark, path, attempt, "etl_runs", runs)
-    return LoadResult(commit(spark, path, version, parts, schema_version, old.buckets), row, rejected)
+    loads |= write_table(spark, path, load, "etl_runs", runs)
+    current = Warehouse(spark, path, old.version + 1, loads, facts, buckets)
+    return LoadResult(point_to(current, schema_version), row, rejected)
 
 
 def table_counts(warehouse: Warehouse) -> DataFrame:

@@ -1,11 +1,15 @@
-"""Warehouse tables as Parquet folders that commit records name.
-
-A load writes into a folder of its own and then creates one commit record, a small JSON file that says for every
-table which folders make it up. The record's name is its version and it is created only if it does not exist: of two
-loads that started from the same version one fails, and what the other committed stays. The facts lie in buckets by a
-hash of their id, one folder each, so a load writes the buckets it changes and its record names the others where they
-already are. Versions stay readable until ``expire`` removes them. Creating a file only once is a property of HDFS and
-of local and mounted folders; on a store without it, run one loader at a time.
+"""Warehouse tables as Parquet written by Spark, and a pointer file that says which folders are current.
+
+Every load writes below a name of its own (``<table>/load=<name>``), and then moves one small JSON file into place as the
+next version: the load of each dimension and of the run log, and for the facts, which Spark partitions by a hash of
+their id, the load that last wrote each bucket. A name that is taken is an error, so of two loads that started from one
+version the later one fails and loses nothing of the other's; where moving onto a taken name is not refused by the
+store itself, as HDFS does, run one loader at a time. Folders that no pointer names may be deleted at any time, and old pointers
+with them.
+
+The number of buckets follows the facts: about ``ROWS_PER_BUCKET`` rows each, so that a changed row costs one bucket of
+bounded size whatever the size of the table. When the facts have outgrown their buckets by half, the load that sees it
+deals all of them out anew.
 """
 
 from __future__ import annotations
@@ -21,9 +25,7 @@ from pyspark.sql import functions as F
 from listingflow.sources.schema import SCHEMA_VERSION, WAREHOUSE_TABLES
 
 FACTS = "fact_listings"
-# Buckets of the facts of a new warehouse; a load rewrites whole buckets, and a record lists them all.
-BUCKETS = 64
-_WHOLE = "all"
+ROWS_PER_BUCKET = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -32,19 +34,22 @@ class Warehouse:
 
     spark: SparkSession
     path: str
-    version: int
-    # table -> part -> folder below ``path``; the parts of the facts are their buckets
-    parts: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
-    buckets: int = BUCKETS
-
-    def table(self, name: str, parts: Iterable[str] | None = None) -> DataFrame:
-        """A whole table, or only the named parts of it."""
-        there = self.parts.get(name, {})
-        folders = [there[p] for p in (sorted(there) if parts is None else parts) if p in there]
+    version: int = 0
+    loads: Mapping[str, str] = field(default_factory=dict)  # the load of each table but the facts
+    facts: Mapping[str, str] = field(default_factory=dict)  # the load of each bucket that has rows
+    buckets: int = 1
+
+    def table(self, name: str, buckets: Iterable[int] | None = None) -> DataFrame:
+        """A whole table; of the facts, if wanted, only some buckets."""
+        if name == FACTS:
+            wanted = self.facts if buckets is None else {str(b) for b in buckets} & self.facts.keys()
+            folders = [f"load={self.facts[b]}/bucket={b}" for b in sorted(wanted)]
+        else:
+            folders = [f"load={self.loads[name]}"] if name in self.loads else []
         schema = WAREHOUSE_TABLES[name]
         if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*(f"{self.path}/{f}" for f in folders))
+        return self.spark.read.schema(schema).parquet(*(f"{self.path}/{name}/{f}" for f in folders))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in WAREHOUSE_TABLES}
@@ -54,123 +59,72 @@ def bucket_of(listing_id: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(listing_id).cast("bigint")), F.lit(buckets)).cast("int")
 
 
-def _file_system(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+def buckets_for(n_facts: int, now: int = 0) -> int:
+    """As many buckets as ``n_facts`` rows need; those there are ``now`` will do until they are half too full."""
+    needed = max(1, -(-n_facts // ROWS_PER_BUCKET))
+    return now if needed <= now * 3 // 2 else needed
 
 
-def _commits(spark: SparkSession, path: str) -> list[int]:
-    """All versions for which there is a record, ascending."""
-    fs, folder = _file_system(spark, f"{path}/commits")
-    if not fs.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(folder)]
-    return sorted(int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit())
-
-
-def _record(spark: SparkSession, path: str, version: int) -> dict | None:
-    """The commit record; None for one whose writing broke off."""
-    text = "".join(r["value"] for r in spark.read.text(f"{path}/commits/{version}.json").collect())
-    try:
-        return json.loads(text)
-    except ValueError:
-        return None
+def _names(spark: SparkSession, path: str):
+    """The file system and folder of ``path``, and the names in it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, folder, [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
 
 
 def open_warehouse(spark: SparkSession, path: str, schema_version: int = SCHEMA_VERSION) -> Warehouse:
-    """The newest committed state; a warehouse committed under another schema version is taken as empty."""
-    for version in reversed(_commits(spark, path)):
-        if (record := _record(spark, path, version)) is not None:
-            if record["schema_version"] != schema_version:
-                break
-            return Warehouse(spark, path, version, record["parts"], record["buckets"])
-    return Warehouse(spark, path, 0)
-
-
-def next_version(spark: SparkSession, path: str) -> int:
-    return max(_commits(spark, path), default=0) + 1
-
-
-def new_attempt(version: int) -> str:
-    """The folder of one load, below the warehouse's path. Another attempt at the same version has its own."""
-    return f"loads/{version}-{uuid.uuid4().hex}"
-
-
-def _typed(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
-    empty = spark.createDataFrame([], WAREHOUSE_TABLES[name])
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in empty.schema.fields])
-
-
-def write_table(spark: SparkSession, path: str, attempt: str, name: str, df: DataFrame) -> dict[str, str]:
-    """Write one table whole with its fixed columns and types; returns its parts."""
-    folder = f"{attempt}/{name}"
-    _typed(spark, name, df).write.parquet(f"{path}/{folder}")
-    return {_WHOLE: folder}
-
-
-def write_buckets(
-    spark: SparkSession, path: str, attempt: str, facts: DataFrame, buckets: int
-) -> dict[str, str]:
-    """Write facts by bucket; returns the part of every bucket that has rows."""
-    folder = f"{attempt}/{FACTS}"
-    rows = _typed(spark, FACTS, facts).withColumn("bucket", bucket_of("listing_id", buckets))
-    # One or a few files per bucket: a rebalanced partition holds whole buckets, and large ones are split.
-    rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{path}/{folder}")
-    fs, target = _file_system(spark, f"{path}/{folder}")
-    names = [status.getPath().getName() for status in fs.listStatus(target)]
-    return {n.removeprefix("bucket="): f"{folder}/{n}" for n in names if n.startswith("bucket=")}
-
-
-def commit(
-    spark: SparkSession, path: str, version: int, parts: Mapping[str, Mapping[str, str]],
-    schema_version: int = SCHEMA_VERSION, buckets: int = BUCKETS,
-) -> Warehouse:
-    """Make the written parts the current version; ``FileExistsError`` if another load committed it before."""
-    record = {"version": version, "schema_version": schema_version, "buckets": buckets, "parts": parts}
-    fs, target = _file_system(spark, f"{path}/commits/{version}.json")
-    try:
-        out = fs.create(target, False)
-    except Exception as error:  # the class differs by file system
-        if fs.exists(target):
-            raise FileExistsError(f"version {version} of {path} was committed by another load") from error
-        raise
-    try:
-        out.write(bytearray(json.dumps(record).encode()))
-    finally:
-        out.close()
-    return Warehouse(spark, path, version, parts, buckets)
-
-
-def expire(spark: SparkSession, path: str, keep: int = 10) -> int:
-    """Remove all but the last ``keep`` versions and the folders that only they name; returns how many went.
-
-    Folders of loads newer than the oldest version kept stay, committed or not.
-    """
-    versions = _commits(spark, path)
-    kept, old = versions[-keep:], versions[:-keep]
-    if not old:
-        return 0
-    named = {
-        "/".join(folder.split("/")[:2])
-        for v in kept if (record := _record(spark, path, v)) for parts in record["parts"].values() for folder in parts.values()
-    }
-    for version in old:
-        fs, target = _file_system(spark, f"{path}/commits/{version}.json")
-        fs.delete(target, False)
-    fs, loads = _file_system(spark, f"{path}/loads")
-    for status in fs.listStatus(loads):
-        name = status.getPath().getName()
-        if f"loads/{name}" not in named and int(name.split("-")[0]) < kept[0]:
-            fs.delete(status.getPath(), True)
-    return len(old)
+    """The current state; a warehouse of another schema version is taken as empty, and its version goes on."""
+    names = [n.removesuffix(".json") for n in _names(spark, f"{path}/versions")[2]]
+    version = max((int(n) for n in names if n.isdigit()), default=0)
+    if not version:
+        return Warehouse(spark, path)
+    stated = json.loads(spark.read.text(f"{path}/versions/{version}.json", wholetext=True).first()["value"])
+    if stated.pop("schema_version") != schema_version:
+        return Warehouse(spark, path, version)
+    return Warehouse(spark, path, version, **stated)
+
+
+def write_table(spark: SparkSession, path: str, load: str, name: str, df: DataFrame, buckets: int = 1) -> dict[str, str]:
+    """Write a table with its fixed columns and types; returns the load of each bucket of facts, or of the table."""
+    types = spark.createDataFrame([], WAREHOUSE_TABLES[name]).schema.fields
+    rows = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in types]).withColumn("load", F.lit(load))
+    if name != FACTS:
+        rows.write.mode("append").partitionBy("load").parquet(f"{path}/{name}")
+        return {name: load}
+    rows = rows.withColumn("bucket", bucket_of("listing_id", buckets))
+    # A rebalanced partition holds whole buckets, and large ones are split.
+    rows.hint("rebalance", "bucket").write.mode("append").partitionBy("load", "bucket").parquet(f"{path}/{name}")
+    return {n.removeprefix("bucket="): load for n in _names(spark, f"{path}/{name}/load={load}")[2] if n.startswith("bucket=")}
+
+
+def new_load() -> str:
+    return uuid.uuid4().hex
+
+
+def point_to(new: Warehouse, schema_version: int = SCHEMA_VERSION) -> Warehouse:
+    """Make ``new`` the current state; ``FileExistsError`` if another load has become its version before."""
+    fs, folder, _ = _names(new.spark, f"{new.path}/versions")
+    path = new.spark._jvm.org.apache.hadoop.fs.Path
+    draft, place = path(folder, f"draft-{uuid.uuid4().hex}"), path(folder, f"{new.version}.json")
+    stated = {"schema_version": schema_version, "loads": new.loads, "facts": new.facts, "buckets": new.buckets}
+    out = fs.create(draft, False)
+    out.write(bytearray(json.dumps(stated).encode()))
+    out.close()
+    if fs.exists(place) or not fs.rename(draft, place):
+        fs.delete(draft, False)
+        raise FileExistsError(f"another load has become version {new.version} of {new.path}")
+    return new
 
 
 def write_all(
     spark: SparkSession, path: str, tables: Mapping[str, DataFrame], schema_version: int = SCHEMA_VERSION
 ) -> Warehouse:
-    """Write a full set of tables as a new version and commit it."""
-    version = next_version(spark, path)
-    attempt = new_attempt(version)
-    parts = {name: write_table(spark, path, attempt, name, tables[name]) for name in WAREHOUSE_TABLES if name != FACTS}
-    parts[FACTS] = write_buckets(spark, path, attempt, tables[FACTS], BUCKETS)
-    return commit(spark, path, version, parts, schema_version)
+    """Write a full set of tables as the next version."""
+    load, buckets = new_load(), buckets_for(tables[FACTS].count())
+    loads = {}
+    for name in WAREHOUSE_TABLES:
+        if name != FACTS:
+            loads |= write_table(spark, path, load, name, tables[name])
+    facts = write_table(spark, path, load, FACTS, tables[FACTS], buckets)
+    version = open_warehouse(spark, path, schema_version).version + 1
+    return point_to(Warehouse(spark, path, version, loads, facts, buckets), schema_version)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,26 +42,53 @@ def score_stream(listings: DataFrame, model: PipelineModel, threshold: float = F
 
 
 def write_feed(feed: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append scored listings to Parquet, each input file exactly once; ends when all present files are done.
-
-    Each row carries the time at which its micro-batch began, ``scored_at``.
-    """
+    """Append scored listings to Parquet, each input file exactly once; ends when all present files are done."""
     return (
-        feed.withColumn("scored_at", F.current_timestamp())
-        .writeStream.format("parquet").outputMode("append")
+        feed.writeStream.format("parquet").outputMode("append")
         .option("path", path).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
 
 
-def batch_durations(spark: SparkSession, path: str) -> DataFrame:
-    """(scored_at, n_rows, latency_ms) of every micro-batch of a written feed, however many there were.
+_PROGRESS = (
+    "run_id string, batch_id bigint, started timestamp, n_rows bigint, latency_ms double, scoring_ms double, planning_ms double"
+)
 
-    A micro-batch lasts from its beginning to the writing of its last file; Spark's own progress keeps only the last
-    ones. A micro-batch without rows leaves nothing to tell.
-    """
-    feed = spark.read.parquet(path).select("scored_at", F.col("_metadata.file_modification_time").alias("written"))
-    took = F.max("written").cast("double") - F.col("scored_at").cast("double")
-    return feed.groupBy("scored_at").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.greatest(F.round(took * 1000, 3), F.lit(0.0)).alias("latency_ms")
+
+def _progress_row(progress) -> tuple:
+    took = dict(progress.durationMs)
+    return (
+        str(progress.runId), progress.batchId, datetime.fromisoformat(progress.timestamp), progress.numInputRows,
+        *(float(took.get(name, 0)) for name in ("triggerExecution", "addBatch", "queryPlanning")),
     )
+
+
+def run_feed(spark: SparkSession, query: StreamingQuery, path: str, poll_seconds: float = 1.0, held: int = 1000) -> None:
+    """Wait for the query's end and append one row for each of its micro-batches to the table at ``path``.
+
+    Rows come from the query's own progress while it runs: when the micro-batch began, its rows, and the
+    milliseconds of the whole trigger, of scoring and writing, and of planning. Spark keeps the last 100 reports; they are asked
+    for much more often than that, and at most ``held`` rows wait for being written.
+    """
+    last, rows = -1, []
+
+    def flush() -> None:
+        if rows:
+            spark.createDataFrame(rows, _PROGRESS).coalesce(1).write.mode("append").parquet(path)
+            rows.clear()
+
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(poll_seconds)
+        for progress in query.recentProgress:
+            # A report of a trigger without new files repeats the number of the batch to come, with no rows.
+            if progress.batchId > last and "addBatch" in dict(progress.durationMs):
+                last = progress.batchId
+                rows.append(_progress_row(progress))
+        if ended or len(rows) >= held:
+            flush()
+
+
+def batch_durations(spark: SparkSession, path: str) -> DataFrame:
+    """(run_id, batch_id, started, n_rows, latency_ms, scoring_ms, planning_ms) of each micro-batch written to ``path``."""
+    return spark.read.schema(_PROGRESS).parquet(path)

@@ -1,36 +1,33 @@
-"""The default domain tables: the areas and property types that requests and grids know.
-
-All values are fixed values; pass other tables to the operators for another market.
-"""
+"""A made-up market for the tests: areas with their places, and property types."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Area, latitude, longitude.
+# Area, latitude, longitude.
 AREAS = (
-    ("Dubai Marina", 25.0805, 55.1403),
-    ("Jumeirah Village Circle", 25.0575, 55.2093),
-    ("Business Bay", 25.1872, 55.2631),
-    ("Downtown Dubai", 25.1972, 55.2744),
-    ("Jumeirah Lake Towers", 25.0693, 55.1424),
-    ("Arabian Ranches", 25.0512, 55.2704),
-    ("Al Furjan", 25.0234, 55.1487),
-    ("Dubai Silicon Oasis", 25.1234, 55.3823),
-    ("Palm Jumeirah", 25.1124, 55.1390),
-    ("Dubai Sports City", 25.0453, 55.2178),
-    ("Mirdif", 25.2168, 55.4211),
-    ("Discovery Gardens", 25.0398, 55.1444),
+    ("Harbour East", 41.390, 2.154),
+    ("Old Mill", 41.401, 2.187),
+    ("Tannery Row", 41.377, 2.142),
+    ("Observatory Hill", 41.418, 2.129),
+    ("Saltworks", 41.362, 2.171),
+    ("Lower Orchard", 41.433, 2.196),
+    ("Canal Bend", 41.395, 2.208),
+    ("Quarry Park", 41.446, 2.163),
+    ("Lantern Square", 41.383, 2.176),
+    ("Weavers Yard", 41.409, 2.151),
+    ("North Gate", 41.457, 2.182),
+    ("Ferry Landing", 41.371, 2.193),
 )
 
-# Type, default bedrooms, smallest and largest usual size in sqft, whether in a tower.
+# Type, default bedrooms, smallest and largest size, whether in a tower.
 PROPERTY_TYPES = (
-    ("Studio", 1, 380, 550, 1),
-    ("1BR Apartment", 2, 650, 950, 1),
-    ("2BR Apartment", 2, 950, 1400, 1),
-    ("3BR Apartment", 4, 1400, 2100, 1),
-    ("Townhouse", 4, 1800, 2600, 0),
-    ("Villa", 5, 2800, 5200, 0),
+    ("Loft", 1, 400, 600, 1),
+    ("Flat", 2, 640, 940, 1),
+    ("Duplex", 2, 960, 1410, 1),
+    ("Penthouse", 4, 1450, 2150, 1),
+    ("Terrace house", 4, 1750, 2550, 0),
+    ("Farmhouse", 5, 2900, 5100, 0),
 )
 
 

@@ -137,6 +137,15 @@ def test_near_duplicates_with_awkward_rows(make_docs):
     assert simhash.near_duplicates(make_docs([])).count() == 0
 
 
+def test_keep_first_takes_any_names_and_types(make_docs):
+    docs = make_docs([(1, prose(1, 40)), (1, prose(1, 40)), (2, prose(2, 40))])
+    docs = docs.withColumn("_turn", F.lit("mine")).withColumn("turn", F.lit(7)).withColumn(
+        "tags", F.create_map(F.lit("k"), F.monotonically_increasing_id().cast("string")))
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r._turn, r.turn) for r in kept.collect()) == [(1, "mine", 7), (2, "mine", 7)]
+
+
 def test_keep_first_leaves_one_row_per_group(make_docs):
     a, b = prose(1, 300), prose(2, 300)
     docs = make_docs([(5, a), (3, a), (3, a), (7, b), (None, b), (None, "nobody else"), (9, a + " more"), (7, "other text, same id")])
@@ -241,6 +250,15 @@ def test_national_phones_ipv6_and_more_titles_are_replaced(make_docs):
     assert got[100].n_replaced == 4 and got[101].n_replaced == 0 and got[101].text == NO_DATA
 
 
+def test_titles_that_repeat_without_end(make_docs):
+    """A title said thousands of times in a row neither ends the search nor hides the name behind it."""
+    docs = make_docs([(1, "Mr " * 20_000 + "Smith"), (2, "Dr. Prof. Mrs Miller said"), (3, "Mr Lord came"), (4, "Mr " * 9)])
+    got = {r.doc_id: r for r in surrogates.replace(docs, "key").collect()}
+    assert got[1].text.startswith("Mr Mr ") and "Smith" not in got[1].text and got[1].n_replaced == 1
+    assert got[2].text.startswith("Dr. Prof. Mrs ") and "Miller" not in got[2].text
+    assert "Lord" not in got[3].text and got[3].text.startswith("Mr ")
+
+
 def test_surrogates_stay_distinct_where_they_would_collide(spark):
     names = [("male", f"name{c}{d}") for c in "abcdefghij" for d in "klmnopqrst"] + [("male", "adam"), ("male", "peter")]
     units = spark.createDataFrame(names, "kind string, canonical string")
@@ -355,6 +373,18 @@ def test_lists_hold_as_of_the_fetch(spark):
     assert not any(r.listed for r in url_lists.listed(df, events.limit(0)).collect())
 
 
+def test_long_urls_cost_their_length(spark):
+    events = spark.createDataFrame(
+        [("domain", "b.org", "add"), ("prefix", "x.b.org/a/a/a/", "add"), ("prefix", "deep.net" + "/d" * 300 + "/", "add")],
+        "kind string, entry string, action string").withColumn("at", F.lit("2020-01-01").cast("date"))
+    urls = ["http://x.b.org/" + "a/" * 500_000, "http://" + "s." * 100_000 + "b.org/", "http://deep.net" + "/d" * 300 + "/e",
+            "http://deep.net" + "/d" * 299 + "/e", "http://b.org"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id int, url string").withColumn(
+        "fetched", F.lit("2021-05-05").cast("date"))
+    got = {r.page_id: (r.kind, r.listed) for r in url_lists.listed(df, events).collect()}
+    assert got == {0: ("prefix", True), 1: ("domain", True), 2: ("prefix", True), 3: (None, False), 4: ("domain", True)}
+
+
 # --- licences
 
 def test_licences_by_canonical_digest(spark, make_docs):
@@ -378,6 +408,18 @@ def test_licences_by_canonical_digest(spark, make_docs):
     assert licenses.scan(make_docs([])).count() == 0
 
 
+def test_licences_of_a_given_list(spark, make_docs):
+    more = spark.createDataFrame([("House-1", "Use it, at your own risk.\nNo more."), ("Gone", None)], "licence string, text string")
+    docs = make_docs([(1, "USE IT at your own risk\n\n  no more!"), (2, "use it"), (3, "(c) 2001 Us\nUse it, at your own risk. No more.")])
+    assert {r.doc_id: r.licence for r in licenses.scan(docs, more).collect()} == {1: "House-1", 2: None, 3: "House-1"}
+
+
+def test_many_blank_lines_are_looked_at_once(make_docs):
+    text = "(c) 2020 One\n" + "\n \t*\n" * 200_000 + "words"
+    row = licenses.scan(make_docs([(1, text), (2, "words")])).collect()
+    assert row[0].digest == row[1].digest
+
+
 # --- passages
 
 def test_fenwick_chains_equal_quadratic_ones():

@@ -153,6 +153,35 @@ def test_hot_group_of_copies_and_rewordings_stays_linear(spark):
     assert found_clusters(result) == {"cluster_0": list(range(400))}
 
 
+def two_crowds(rng, n, planted, n_words=400, skew=3):
+    """Two points at one place whose prices differ, so that texts must agree, with ``n`` texts each."""
+    def words():
+        return " ".join(f"w{int(n_words * rng.random() ** skew)}" for _ in range(14)) + " sunny flat"
+
+    rows = [listing(i, title=words(), description=None, price_aed_month=6000 if i < n else 3000) for i in range(2 * n)]
+    if planted:
+        rows[n + n // 2]["title"] = rows[n // 3]["title"] + " again"
+    return rows
+
+
+@pytest.mark.parametrize("planted, weights", [
+    (True, {}), (False, {}), (True, {"text_weight": 0.4, "price_weight": 0.25, "size_weight": 0.35}),
+    (False, {"text_weight": 0.2, "price_weight": 0.4, "size_weight": 0.25}),
+])
+def test_crowded_points_meet_at_rare_words(spark, planted, weights):
+    rows = two_crowds(random.Random(9), 90, planted)
+    check_against_plain(spark, rows, MatchConfig(min_price_similarity=None, **weights))
+
+
+@pytest.mark.parametrize("planted", [True, False])
+def test_two_points_of_very_many_texts(spark, planted):
+    n = 5_000
+    config = MatchConfig(min_price_similarity=None, text_weight=0.3, price_weight=0.2, size_weight=0.4, threshold=0.6)
+    result = find_duplicates(listings(spark, *two_crowds(random.Random(12), n, planted, 20_000, 1)), config)
+    assert result.pairs.count() < 20 * n
+    assert len(found_clusters(result)) == (1 if planted else 2)
+
+
 @pytest.mark.parametrize("lat", [0.0, 60.0, -75.0, 89.99, -89.999])
 def test_distance_gate_at_any_latitude(spark, lat):
     rng = random.Random(7)

@@ -1,5 +1,6 @@
 import random
 import statistics
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,6 +32,22 @@ def test_flag_metrics(spark):
     assert (row.precision, row.recall, row.f1) == (0.5, 0.5, 0.5)
 
 
+def test_medians_by_selection(spark, monkeypatch):
+    rng = random.Random(6)
+    groups = {
+        "one": [5.0], "two": [1.0, 2.0], "same": [7.0] * 50, "ends": [0.0] * 30 + [1e6] * 30,
+        "wide": [rng.uniform(-1e9, 1e9) for _ in range(999)] + [1e300, -1e300], "ints": [float(rng.randrange(10**6)) for _ in range(2000)],
+        "tiny": [1.0, 1.0 + 2**-52, 1.0 + 2**-51, 1e308, -1e308], "far": [float("inf"), 1.0, 2.0, 3.0, float("-inf")],
+    }
+    rows = [(g, v) for g, values in groups.items() for v in values] + [("one", None), (None, 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(3)
+    for bins in (4, evaluate.BINS):
+        monkeypatch.setattr(evaluate, "BINS", bins)
+        got = {r.g: r.median for r in evaluate.group_medians(df, ("g",), "v").collect()}
+        assert got == {g: statistics.median(values) for g, values in groups.items()}
+    assert evaluate.group_medians(df.limit(0), ("g",), "v").count() == 0
+
+
 def test_flag_metrics_without_flags(spark):
     row = evaluate.flag_metrics(spark.createDataFrame([(0, 1), (0, 0)], "flag int, truth int")).first()
     assert (row.flagged, row.precision, row.f1) == (0, 0.0, 0.0)

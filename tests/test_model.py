@@ -106,6 +106,19 @@ def test_a_unit_lies_in_one_fold_and_every_row_is_scored_once(spark, market):
     assert out.where(F.col("residual_pct").isNull()).count() == 0
 
 
+def test_folds_are_scored_by_models_of_the_other_folds(spark, market):
+    """The same trees as a fit on the rows of the other folds alone."""
+    params = model.ModelParams(rounds=3, step=0.5, subsample=1.0)
+    out = model.score_out_of_fold(market, market.where("listing_id % 4 <> 0"), None, params=params).where("fold = 2")
+    rest = model.group_folds(model.with_clusters(market, None)).where("fold <> 2 and listing_id % 4 <> 0")
+    encoder = model.fit_encoder(market)
+    fitted = model.fit_vectors(model.with_vectors(encoder, rest), rest.count(), encoder, params)
+    want = {r.listing_id: r.predicted_price_aed_month for r in model.score_all(fitted, market).collect()}
+    rows = out.collect()
+    assert len(rows) > 100
+    assert all(abs(r.predicted_price_aed_month - want[r.listing_id]) <= 1 for r in rows)
+
+
 def test_fewer_units_than_folds_is_an_error(spark):
     with pytest.raises(ValueError):
         model.score_out_of_fold(listings(spark, listing(1), listing(2)), listings(spark, listing(1)), None)
@@ -125,36 +138,37 @@ REQUEST = ("area string, property_type string, size_sqft double, bedrooms int, f
 
 
 def ask(spark, *rows):
-    base = ("Dubai Marina", "1BR Apartment", 800.0, None, None, None, None)
+    base = ("Harbour East", "Flat", 800.0, None, None, None, None)
     return spark.createDataFrame([tuple(r) + base[len(r):] for r in rows], REQUEST)
 
 
 def test_grid_covers_every_combination(spark):
     grid = requests.grid_points(default_areas(spark), default_types(spark)).cache()
     assert grid.count() == 12 * 6 * 6 * 2 == grid.select("area", "property_type", "size_sqft", "furnished").distinct().count()
-    studio = grid.where("property_type = 'Studio'").agg(F.sort_array(F.collect_set("size_sqft")), F.max("floor")).first()
-    assert studio[0] == [380, 414, 448, 482, 516, 550] and studio[1] == 15
+    studio = grid.where("property_type = 'Loft'").agg(F.sort_array(F.collect_set("size_sqft")), F.max("floor")).first()
+    assert studio[0] == [400, 440, 480, 520, 560, 600] and studio[1] == 15
 
 
-def test_grid_of_very_many_types(spark):
+def test_grid_of_very_many_types(spark, monkeypatch):
+    monkeypatch.setattr(requests, "SQUARE", 5)
     types = spark.range(1500).selectExpr(
         "concat('type', id) AS property_type", "1 AS default_bedrooms", "100 AS min_size", "200 AS max_size", "0 AS is_tower")
     assert requests.grid_points(default_areas(spark), types).count() == 12 * 1500 * 6 * 2
 
 
 def test_bad_requests_are_rejected_with_a_reason(spark):
-    df = ask(spark, ("Dubai Marina", "1BR Apartment", 800.0), ("Atlantis",), ("Dubai Marina", "Castle"),
-             ("Dubai Marina", "1BR Apartment", -5.0), ("Dubai Marina", None), ("Dubai Marina", "Villa", None),
-             ("Dubai Marina", "Villa", 100.0), ("Dubai Marina", "Villa", 20000.0),
-             ("Dubai Marina", "Villa", 3000.0, 11), ("Dubai Marina", "Villa", 3000.0, 4, True, 101.0),
-             ("Dubai Marina", "Villa", 3000.0, 4, True, 8.0, 201), (None,))
+    df = ask(spark, ("Harbour East", "Flat", 800.0), ("Atlantis",), ("Harbour East", "Castle"),
+             ("Harbour East", "Flat", -5.0), ("Harbour East", None), ("Harbour East", "Farmhouse", None),
+             ("Harbour East", "Farmhouse", 100.0), ("Harbour East", "Farmhouse", 20000.0),
+             ("Harbour East", "Farmhouse", 3000.0, 11), ("Harbour East", "Farmhouse", 3000.0, 4, True, 101.0),
+             ("Harbour East", "Farmhouse", 3000.0, 4, True, 8.0, 201), (None,))
     valid, rejected = requests.prepare_requests(df, default_areas(spark), default_types(spark))
     rows = {(r.property_type, r.size_sqft): r for r in valid.collect()}
-    assert set(rows) == {("1BR Apartment", 800.0), ("Villa", 20000.0)}
-    marina = rows[("1BR Apartment", 800.0)]
+    assert set(rows) == {("Flat", 800.0), ("Farmhouse", 20000.0)}
+    marina = rows[("Flat", 800.0)]
     assert (marina.bedrooms, marina.furnished, marina.building_age_years, marina.floor, marina.lat) == (
-        2, 0, 8, 15, 25.0805)
-    assert rows[("Villa", 20000.0)].floor == 0 and rows[("Villa", 20000.0)].bedrooms == 5
+        2, 0, 8, 15, 41.39)
+    assert rows[("Farmhouse", 20000.0)].floor == 0 and rows[("Farmhouse", 20000.0)].bedrooms == 5
     assert sorted(r.reason for r in rejected.collect()) == sorted([
         "unknown area", "unknown area", "unknown property_type", "unknown property_type", "size_sqft out of range",
         "size_sqft missing", "size_sqft out of range", "bedrooms out of range", "building_age_years out of range",
@@ -162,7 +176,7 @@ def test_bad_requests_are_rejected_with_a_reason(spark):
 
 
 def test_price_must_be_positive(spark):
-    df = ask(spark, ("Mirdif",), ("Mirdif",), ("Mirdif",)).withColumn(
+    df = ask(spark, ("North Gate",), ("North Gate",), ("North Gate",)).withColumn(
         "price_aed_month", F.when(F.monotonically_increasing_id() == 0, 0.0))
     _, rejected = requests.prepare_requests(df, default_areas(spark), default_types(spark))
     assert [r.reason for r in rejected.collect()] == ["price_aed_month not positive"] * 3
@@ -179,13 +193,13 @@ def test_half_the_fair_price_is_suspicious(spark):
 def test_requests_agree_with_the_grid_and_grow_with_size(spark, fitted):
     areas, types = default_areas(spark), default_types(spark)
     grid = requests.fair_value_grid(areas, types, fitted.model).cache()
-    point = grid.where("area = 'Business Bay' AND property_type = '2BR Apartment' AND furnished = 1").first()
-    df = ask(spark, ("Business Bay", "2BR Apartment", float(point.size_sqft), None, True)).withColumn(
+    point = grid.where("area = 'Tannery Row' AND property_type = 'Duplex' AND furnished = 1").first()
+    df = ask(spark, ("Tannery Row", "Duplex", float(point.size_sqft), None, True)).withColumn(
         "price_aed_month", F.lit(9000.0))
     valid, _ = requests.prepare_requests(df, areas, types)
     scored = requests.score_requests(valid, fitted.model).first()
     assert scored.predicted_price_aed_month == point.predicted_price_aed_month
-    ends = grid.where("area = 'Mirdif' AND furnished = 0 AND property_type = 'Villa'").agg(
+    ends = grid.where("area = 'North Gate' AND furnished = 0 AND property_type = 'Farmhouse'").agg(
         F.min_by("predicted_price_aed_month", "size_sqft"), F.max_by("predicted_price_aed_month", "size_sqft")).first()
     assert ends[1] > ends[0]
 
@@ -202,39 +216,71 @@ def test_grid_interpolation_and_clamping(spark):
                    ("A", 200.0): 3000.0, ("A", 999.0): 3000.0, ("B", 1.0): None}
 
 
+def test_interpolation_between_all_neighbours(spark):
+    """Uneven sizes, several prices of one size, requests without a size or key, next to a plain version."""
+    rng = random.Random(4)
+    key = ("A", "T", 0)
+    points = [(*key, rng.choice([rng.randrange(100), 10 ** rng.randrange(7)]), float(rng.randrange(1000, 9000))) for _ in range(60)]
+    points += [("B", "T", 1, 70, 500.0), ("B", "T", 1, 70, 900.0), ("B", "T", 1, None, 1.0)]
+    sizes = [float(p[3]) for p in points[:60]] + [rng.uniform(-5, 2e6) for _ in range(200)] + [rng.uniform(0, 100) for _ in range(200)]
+    asked = [(i, *key, s) for i, s in enumerate(sizes)]
+    asked += [(900, *key, None), (901, "B", "T", 1, 69.0), (902, "B", "T", 1, 70.0), (903, "B", "T", 1, 71.0), (904, None, "T", 0, 5.0)]
+    kind = "area string, property_type string, furnished int, size_sqft"
+    got = requests.interpolate_grid(
+        spark.createDataFrame(asked, f"low int, {kind} double"),
+        spark.createDataFrame(points, f"{kind} int, predicted_price_aed_month double"))
+    assert got.columns == ["low", "area", "property_type", "furnished", "size_sqft", "estimate"]
+    curve = sorted((p[3], p[4]) for p in points[:60])
+    want = {900: None, 901: 500.0, 902: 900.0, 903: 900.0, 904: None}
+    for i, *_, s in asked[:460]:
+        below, above = [p for p in curve if p[0] <= s], [p for p in curve if p[0] >= s]
+        low, high = (below or above[:1])[-1], (above or below[-1:])[0]
+        step = (s - low[0]) / (high[0] - low[0]) if high[0] > low[0] else 0.0
+        want[i] = low[1] + step * (high[1] - low[1])
+    rows = got.collect()
+    assert len(rows) == len(asked)
+    for r in rows:
+        assert r.estimate == want[r.low] if want[r.low] is None else abs(r.estimate - want[r.low]) <= 0.5 + 1e-6
+
+
 # ---- streaming ----
 
 def test_stream_gives_the_rows_of_the_batch(spark, market, fitted):
     arrived, out = work_path(spark, "arrived"), work_path(spark, "feed")
-    checkpoint = work_path(spark, "feed-checkpoint")
+    checkpoint, progress = work_path(spark, "feed-checkpoint"), work_path(spark, "progress")
     market.where("listing_id < 500").write.parquet(arrived)
 
     def run():
         stream = scoring.arriving_listings(spark, arrived, market.schema, max_files=1)
         query = scoring.write_feed(scoring.score_stream(stream, fitted.model), out, checkpoint)
-        query.awaitTermination()
+        scoring.run_feed(spark, query, progress)
 
     run()
-    took = scoring.batch_durations(spark, out)
-    assert took.agg(F.sum("n_rows"), F.min("latency_ms") >= 0).first() == (500, True)
+    took = scoring.batch_durations(spark, progress)
+    assert took.agg(F.sum("n_rows")).first()[0] == 500
+    assert took.where("latency_ms < scoring_ms or scoring_ms <= 0 or started > now()").count() == 0
     market.where("listing_id >= 500").write.mode("append").parquet(arrived)
     run()  # only the files that arrived since
-    got = spark.read.parquet(out).drop("scored_at").orderBy("listing_id").collect()
+    took = scoring.batch_durations(spark, progress)
+    assert took.agg(F.sum("n_rows")).first()[0] == market.count() and took.select("run_id").distinct().count() == 2
+    got = spark.read.parquet(out).orderBy("listing_id").collect()
     want = scoring.score_stream(market, fitted.model).orderBy("listing_id").collect()
     assert got == want and len(got) == market.count()
 
 
 def test_every_micro_batch_keeps_its_duration(spark, market):
-    """More micro-batches than the progress that Spark keeps."""
-    arrived, out = work_path(spark, "arrived"), work_path(spark, "feed")
+    """More micro-batches than the progress that Spark keeps, written in several parts."""
+    arrived, progress = work_path(spark, "arrived"), work_path(spark, "progress")
     rows = market.limit(330).withColumn("raw_prediction", F.lit(5000.0))
     rows.repartition(103).write.parquet(arrived)
     n_files = len(spark.read.parquet(arrived).inputFiles())
     stream = scoring.arriving_listings(spark, arrived, rows.schema, max_files=1)
-    scoring.write_feed(scoring.judge_feed(stream), out, work_path(spark, "checkpoint")).awaitTermination()
-    took = scoring.batch_durations(spark, out)
-    assert n_files > 100 and took.count() == n_files
+    query = scoring.write_feed(scoring.judge_feed(stream), work_path(spark, "feed"), work_path(spark, "checkpoint"))
+    scoring.run_feed(spark, query, progress, held=40)
+    took = scoring.batch_durations(spark, progress)
+    assert n_files > 100 and sorted(r.batch_id for r in took.collect()) == list(range(n_files))
     assert took.agg(F.sum("n_rows")).first()[0] == 330
+    assert len(took.inputFiles()) > 1
 
 
 def test_feed_band_uses_the_unrounded_gap(spark):
