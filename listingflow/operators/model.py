@@ -102,12 +102,15 @@ def encoding_stages() -> list:
 
 
 def booster(params: ModelParams = ModelParams()) -> GBTRegressor:
-    """Boosted trees on ``features``. Each row's node is kept between the levels of a tree, and checkpointed."""
+    """Boosted trees on ``features``.
+
+    Trees are so shallow that walking a row down again costs less than keeping every row's node between levels.
+    """
     return GBTRegressor(
         featuresCol="features", labelCol=TARGET, predictionCol="raw_prediction",
         maxIter=params.rounds, maxDepth=params.depth, stepSize=params.step,
         subsamplingRate=params.subsample, maxBins=params.max_bins, seed=params.seed,
-        cacheNodeIds=True, checkpointInterval=10,
+        checkpointInterval=10,
     )
 
 
