@@ -63,7 +63,10 @@ _TITLES = "|".join(_ALL_TITLES)
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}+\.){1,10}[A-Za-z]{2,24}"
 SECRET = r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
 ACCOUNT = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"
-PERSON = rf"(?=[{''.join(sorted({t[0] for t in _ALL_TITLES}))}])(?<!\p{{L}})(?:(?:{_TITLES})\.? )+{_NAME}(?: {_NAME})?"
+# Eight titles at most, and never given back: the search for a name stays short however often titles repeat.
+_TITLE = rf"(?:{_TITLES})\.? (?=\p{{Lu}})"
+_TITLED = rf"(?:{_TITLE}){{1,8}}+(?!{_TITLE})"
+PERSON = rf"(?=[{''.join(sorted({t[0] for t in _ALL_TITLES}))}])(?<!\p{{L}}){_TITLED}{_NAME}(?: {_NAME})?"
 PHONE = (r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
          r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
          r"|\(0[0-9]{1,4}\) ?[0-9]{3,8}(?:[ -][0-9]{2,4}){0,2}(?![0-9])")
@@ -116,7 +119,7 @@ def entities(text: Column) -> Column:
 def _units(found: DataFrame) -> DataFrame:
     """One row per unit of the matches (digest, place, raw): sub, lead (text kept before it), kind, unit."""
     kind = _kind(F.col("raw"))
-    titles = F.regexp_extract("raw", rf"^(?:(?:{_TITLES})\.? )+(?=\p{{Lu}})", 0)
+    titles = F.regexp_extract("raw", rf"^{_TITLED}(?=\p{{Lu}})", 0)
     name = F.split(F.substr("raw", F.length(titles) + 1), " ")
 
     def titled(known):
