@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from listingflow.llm.license_texts import SPELLINGS, TEXTS, notices
 from listingflow.session import materialize
 
-COPYRIGHT_LINE = r"(?m)^[\s/*#;!-]*(?:copyright|©|\(c\))[^\n]*$"
+# What stands before the statement is on its own line and never given back, so many blank lines cost one look each.
+COPYRIGHT_LINE = r"(?m)^[ \t\x0B\f\r/*#;!-]*+(?:copyright|©|\(c\))[^\n]*$"
 _BETWEEN = r"[^\p{L}\p{N}\n]+"
 
 
@@ -45,24 +46,28 @@ def canonical(lines: Column) -> Column:
     return F.trim(F.regexp_replace(lines, r"[\s]+", " "))
 
 
-def known(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    """(digest, licence, length) of the known texts and of the known notices."""
+def known(spark: SparkSession, more: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(digest, licence, length) of the known texts, those of ``more`` (licence, text) among them, and of the notices."""
     out = []
-    for rows in (list(TEXTS.items()), notices()):
+    for rows, others in ((list(TEXTS.items()), more), (notices(), None)):
         text = canonical(canonical_lines(F.col("text")))
-        df = spark.createDataFrame(rows, "licence string, text string").select("licence", text.alias("text"))
+        df = spark.createDataFrame(rows, "licence string, text string")
+        if others is not None:
+            df = df.unionByName(others.select("licence", "text").where("licence is not null and text is not null"))
+        df = df.select("licence", text.alias("text"))
         out.append(df.groupBy(F.sha2("text", 256).alias("digest"), F.length("text").alias("length")).agg(
             F.min("licence").alias("licence")))
     return out[0], out[1]
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, more: DataFrame | None = None) -> DataFrame:
     """(doc_id, digest, licence, n_notices, notices) of each row.
 
-    ``licence`` is that of the whole text, ``notices`` those of its lines, sorted and joined by commas.
+    ``licence`` is that of the whole text, ``notices`` those of its lines, sorted and joined by commas. ``more``
+    (licence, text) are texts to know besides those shipped, a table of any size.
     """
     spark = docs.sparkSession
-    texts, lines = (materialize(k, "known-licences") for k in known(spark))
+    texts, lines = (materialize(k, "known-licences") for k in known(spark, more))
     lengths = sorted(r["length"] for r in lines.select("length").distinct().collect())  # of the fixed notices
     split = F.filter(
         F.transform(F.split("lines", "\n"), lambda line: F.trim(line)), lambda line: F.length(line).isin(lengths)
