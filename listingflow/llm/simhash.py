@@ -295,6 +295,9 @@ def keep_first(docs: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     kept = docs.join(
         first, docs["doc_id"].eqNullSafe(first["_first_id"]) & (digest == first["_first_digest"]), "left_semi"
     )
-    # The same row may be there several times; rank limits are applied before the exchange.
-    turn = Window.partitionBy("doc_id", digest).orderBy(*(F.col(c) for c in columns))
-    return kept.withColumn("_turn", F.row_number().over(turn)).where("_turn = 1").select(*columns)
+    # The same row may be there several times; rank limits are applied before the exchange. The row travels as one
+    # column, so that no name of it is taken for another.
+    whole = F.struct(*(docs[c] for c in columns))
+    rows = kept.select(docs["doc_id"].alias("id"), digest.alias("digest"), whole.alias("row"))
+    turn = Window.partitionBy("id", "digest").orderBy(F.to_json("row"))
+    return rows.withColumn("turn", F.row_number().over(turn)).where("turn = 1").select("row.*")
