@@ -2,8 +2,8 @@
 
 A list is a log: an entry was added or removed at a time. Per entry the log becomes validity intervals
 [since, until). Entries are domains (which cover their subdomains), hosts, or prefixes of host and path up to a slash.
-A capture has a few keys, one per suffix of its host and per directory of its path, and is listed if an entry with
-one of them was valid when it was fetched. Of several the most specific counts: the longest prefix, then the host,
+A capture has a few keys, one per suffix of its host and per directory of its path that is as deep as some entry, and is
+listed if an entry with one of them was valid when it was fetched. Of several the most specific counts: the longest prefix, then the host,
 then the longest domain.
 
 The join is an equality on key and month with the interval as a condition: intervals are laid out over the months in
@@ -12,7 +12,7 @@ capture meets the few intervals of its own month instead of all. Captures travel
 not shuffled.
 
 Defined cases: a null URL, or one without a host, has no keys and is not listed; neither is a capture without time.
-Events without entry or time are left out. Of events of an entry at the same time a removal counts, then the entry
+Events without entry or time are left out. Long URLs and hosts are taken whole. Of events of an entry at the same time a removal counts, then the entry
 stays off until it is added again; repeated events change nothing. Captures are judged row by row, repeated or not.
 """
 
@@ -47,17 +47,35 @@ def intervals(events: DataFrame) -> DataFrame:
     return steps.where("not removed").select("kind", "entry", F.col("at").alias("since"), "until")
 
 
-def keys_of(host: Column, path: Column) -> Column:
-    """Array of (kind, entry) under which a capture may be listed."""
+def depths(events: DataFrame) -> tuple[Column, Column]:
+    """The numbers of labels that listed domains have, and the numbers of slashes of listed prefixes.
+
+    A list of n bytes has at most about the square root of 2 n different ones, since each needs an entry of its length.
+    """
+    entry = F.col("entry")
+    number = F.when(F.col("kind") == "domain", F.size(F.split(entry, r"\."))).otherwise(F.size(F.split(entry, "/")) - 1)
+    found = events.where("entry is not null and kind in ('domain', 'prefix')").groupBy("kind").agg(
+        F.collect_set(number).alias("numbers")).collect()
+    by_kind = {row["kind"]: sorted(row["numbers"]) for row in found}
+    return tuple(F.lit(by_kind.get(kind, [])).cast("array<int>") for kind in ("domain", "prefix"))
+
+
+def keys_of(host: Column, path: Column, labels_listed: Column, slashes_listed: Column) -> Column:
+    """Array of (kind, entry) under which a capture may be listed.
+
+    Only suffixes and directories as deep as some entry are spelled out, so a long URL costs its length for each of these
+    depths and not for each of its own.
+    """
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    domains = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
-        F.lit("domain").alias("kind"), F.array_join(F.slice(labels, i, n), ".").alias("entry")))
+    some = F.filter(labels_listed, lambda i: i <= n)
+    domains = F.transform(some, lambda i: F.struct(
+        F.lit("domain").alias("kind"), F.array_join(F.slice(labels, n - i + 1, i), ".").alias("entry")))
     parts = F.split(path, "/")
-    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.struct(
+    directories = F.filter(slashes_listed, lambda i: (i >= 1) & (i < F.size(parts)))
+    prefixes = F.transform(directories, lambda i: F.struct(
         F.lit("prefix").alias("kind"),
         F.concat(host, F.array_join(F.slice(parts, F.lit(1), i), "/"), F.lit("/")).alias("entry")))
-    prefixes = F.when(F.size(parts) > 1, prefixes).otherwise(F.array().cast("array<struct<kind:string,entry:string>>"))
     own = F.array(F.struct(F.lit("host").alias("kind"), host.alias("entry")))
     return F.when(F.length(host) > 0, F.concat(own, domains, prefixes))
 
@@ -72,7 +90,7 @@ def listed(captures: DataFrame, events: DataFrame, url: str = "url", fetched: st
     )
     wanted = narrow.where(F.col(fetched).isNotNull()).select(
         "_row", F.col(fetched).alias("_at"), F.trunc(fetched, "month").alias("_month"),
-        F.explode(keys_of(F.col("host"), path_of(F.col(url)))).alias("_key"),
+        F.explode(keys_of(F.col("host"), path_of(F.col(url)), *depths(events))).alias("_key"),
     ).select("_row", "_at", "_month", F.col("_key.kind").alias("kind"), F.col("_key.entry").alias("entry"))
     span = narrow.agg(F.trunc(F.min(fetched), "month").alias("low"), F.trunc(F.max(fetched), "month").alias("high")).first()
     low, high = F.lit(span["low"]).cast("date"), F.lit(span["high"]).cast("date")
