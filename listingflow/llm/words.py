@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -48,6 +48,24 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
+def bitmap_of(buckets: DataFrame, bits: int, column: str = "bucket") -> bytes:
+    """The bitmap of ``2 ** bits`` bits in which those of ``column`` are set; at most 2 ** bits / 32768 rows are fetched."""
+    # Spark's bitmap functions number from one: 4096 bytes hold 32768 buckets.
+    number = F.col(column) + 1
+    parts = buckets.groupBy(F.bitmap_bucket_number(number).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
+    )
+    whole = bytearray(1 << max(bits - 3, 12))
+    for row in parts.toLocalIterator():
+        whole[(row["part"] - 1) * 4096 : row["part"] * 4096] = row["bits"]
+    return bytes(whole)
+
+
+def in_bitmap(bitmap: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Whether the bit of each bucket is set in a bitmap of bytes."""
+    return (bitmap[bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1 == 1
+
+
 def window_codes(ids: np.ndarray, width: int) -> np.ndarray:
     """Numbers for the windows of ``width`` ids, equal exactly where the windows are equal."""
     codes, have = ids.astype(np.int64), 1
