@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from listingflow.llm.words import chunks
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 # Fragments over this many bytes are merged one by one.
 LONG = 64
 _NONE = np.int64(1) << 40  # a rank above all
