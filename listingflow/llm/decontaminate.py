@@ -9,8 +9,10 @@ others are verified word by word over the window's own length.
 
 Documents are read twice by Python tasks that turn words into numbers of the benchmark's vocabulary: once to count
 shingles, once to find prefix shingles and the words around them. What follows are Spark joins on the few places
-found. The vocabulary and shingles a task holds are those of one block of items of at most ``block_words`` words
-in all (a single longer item is a block of its own); a larger benchmark is taken in several blocks.
+found. What a task holds are the vocabulary and shingles of one block of about ``block_words`` words of items, since
+neighbouring windows share all their shingles but one; a larger benchmark is taken in several blocks, each of
+which reads the documents twice. Items are dealt to blocks by a hash in stretches of ``STRETCH`` windows, so that a long item is
+spread and a block keeps near its mean.
 
 Defined cases: null or empty documents have no words, no hits and are not contaminated. Items without id or without
 words have no windows; an item_id that occurs with several texts counts once if any of its windows occurs. Repeated
@@ -32,7 +34,8 @@ from listingflow.session import materialize
 
 WINDOW = 13
 SHINGLE = 5
-BLOCK_WORDS = 500_000
+BLOCK_WORDS = 1_000_000
+STRETCH = 4_096
 CONTAMINATED_IN = 20  # contaminated where at least 1 word in 20 is hit
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -118,22 +121,26 @@ def item_words(text: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(block, window, item_ids, words): the distinct windows, numbered by block and place."""
-    listed = benchmark.select(F.col("item_id"), item_words(F.col("text")).alias("words")).where(
-        "item_id is not null and size(words) > 0"
+    """(item_id, words, block): the windows of each item; equal windows are in one block."""
+    listed = materialize(
+        benchmark.select(F.col("item_id"), item_words(F.col("text")).alias("words")).where(
+            "item_id is not null and size(words) > 0"
+        ),
+        "items",
     )
-    n = F.size("words")
-    starts = F.sequence(F.lit(0), F.greatest(n - WINDOW, F.lit(0)))
-    windows = (
-        listed.select("item_id", "words", F.explode(starts).alias("at"))
-        .select("item_id", F.concat_ws(" ", F.slice("words", F.col("at") + 1, WINDOW)).alias("words"))
-        .distinct()
+    total = listed.agg(F.sum(F.size("words")).alias("n")).first()["n"] or 0
+    blocks = max(1, -(-total // block_words))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - WINDOW, F.lit(0)))
+    dealt = F.pmod(F.xxhash64("item_id", F.floor(F.col("at") / STRETCH)), F.lit(blocks)).cast("int")
+    windows = listed.select("item_id", "words", F.explode(starts).alias("at")).select(
+        "item_id", F.concat_ws(" ", F.slice("words", F.col("at") + 1, WINDOW)).alias("words"), dealt.alias("block")
     )
-    # Blocks by a running count of words would need an order over all windows; a hash spreads them evenly.
+    windows = windows.groupBy("item_id", "words").agg(F.min("block").alias("block"))
+    if blocks == 1:
+        return windows
     windows = materialize(windows, "item-windows")
-    total = windows.agg(F.sum(F.size(F.split("words", " "))).alias("n")).first()["n"] or 0
-    blocks = max(1, -(-total // block_words))
-    return windows.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks)).cast("int"))
+    first = windows.groupBy("words").agg(F.min("block").alias("block"))
+    return windows.drop("block").join(first, "words")
 
 
 def _shingles(windows: DataFrame) -> DataFrame:
@@ -153,7 +160,7 @@ def _hits_of_block(docs: DataFrame, windows: DataFrame, keep_sizes: bool):
     """(rows with sizes, (digest, begin, length, words) of each window found) for one block of windows."""
     spark = docs.sparkSession
     spelled = materialize(_shingles(windows), "window-shingles")
-    # Bounded by block_words: one shingle starts at most at each word of the block.
+    # About block_words of them: one shingle starts at most at each word of the block's items.
     listed = [r["shingle"] for r in spelled.select("shingle").distinct().orderBy("shingle").collect()]
     shared = spark.sparkContext.broadcast([s.encode() for s in listed])
     counts = docs.select("text").mapInArrow(partial(_counted, block=shared), "shingle long, n long")

@@ -185,6 +185,15 @@ def test_contamination_of_empty_tables(spark, make_docs):
     assert (row.n_words, row.n_hit, row.n_items, row.contaminated) == (2, 0, 0, False)
 
 
+def test_blocks_hold_words_of_items_and_not_of_windows(spark):
+    items = spark.createDataFrame(
+        [(i, prose(i, 300)) for i in range(40)] + [(99, prose(99, 12_000)), (7, prose(7, 300))], "item_id long, text string")
+    windows = decontaminate.item_windows(items, block_words=8_000)
+    sizes = {r.block: r.n for r in windows.groupBy("block").agg(F.countDistinct("words").alias("n")).collect()}
+    assert len(sizes) in (2, 3, 4) and sum(sizes.values()) == 40 * 288 + 11_988
+    assert windows.groupBy("words").agg(F.countDistinct("block").alias("n")).where("n > 1").count() == 0
+
+
 # --- surrogates
 
 PRIVATE = "mail Jo.Doe9@Mail.example.com or jo.doe9@mail.EXAMPLE.com, +1 (017) 555-7713, 4539 1488 0343 6467 and 4539148803436467, 10.2.3.4 8.8.8.8, 123-45-6789, token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\", DE89370400440532013000"
