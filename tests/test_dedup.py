@@ -175,7 +175,7 @@ def test_crowded_points_meet_at_rare_words(spark, planted, weights):
 
 @pytest.mark.parametrize("planted", [True, False])
 def test_two_points_of_very_many_texts(spark, planted):
-    n = 5_000
+    n = 2_500
     config = MatchConfig(min_price_similarity=None, text_weight=0.3, price_weight=0.2, size_weight=0.4, threshold=0.6)
     result = find_duplicates(listings(spark, *two_crowds(random.Random(12), n, planted, 20_000, 1)), config)
     assert result.pairs.count() < 20 * n
