@@ -15,6 +15,7 @@ lineage without writing any row again. A missing number goes with the largest on
 from __future__ import annotations
 
 import json
+import sys
 import time
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -23,7 +24,7 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import RDD, StorageLevel, TaskContext
+from pyspark import RDD, StorageLevel, TaskContext, cloudpickle
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
@@ -73,12 +74,10 @@ class Tree:
         return self.total[half:] / np.maximum(self.count[half:], 1)
 
 
-@dataclass
-class _Block:
-    fit: int
-    seed: tuple[int, int]
-    bins: np.ndarray  # columns x rows
-    left: np.ndarray  # the labels less what the trees predict
+# Number of the fit, seed, bins (columns x rows), and labels less what the trees predict.
+_Block = tuple[int, tuple[int, int], np.ndarray, np.ndarray]
+# Tasks get the functions of this module themselves, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _columns(vectors: DataFrame, label: str, layout: Layout) -> DataFrame:
@@ -162,18 +161,19 @@ def _nodes(bins: np.ndarray, tree: Tree, level: int, numbers: int) -> np.ndarray
 
 def _grown(block: _Block, trees: Sequence[Sequence[Tree]], weights: Sequence[float], numbers: int) -> _Block:
     """The block with what the trees of its fit predict taken off."""
-    left = block.left.copy()
+    fit, drawn, bins, left = block
+    left = left.copy()
     for round_, weight in zip(trees, weights):
-        tree = round_[block.fit]
+        tree = round_[fit]
         depth = (len(tree.column) + 1).bit_length() - 1
-        left -= (weight * tree.values())[_nodes(block.bins, tree, depth, numbers)]
-    return _Block(block.fit, block.seed, block.bins, left)
+        left -= (weight * tree.values())[_nodes(bins, tree, depth, numbers)]
+    return fit, drawn, bins, left
 
 
 def _unpacked(row, kind: str) -> _Block:
     label = np.frombuffer(row.label, dtype="<f8")
     bins = np.frombuffer(row.bins, dtype=kind).reshape(-1, len(label))
-    return _Block(row.fit, (row.part, row.block), bins, label)
+    return row.fit, (row.part, row.block), bins, label
 
 
 def _histograms(
@@ -186,17 +186,17 @@ def _histograms(
     """
     nodes, sums = 1 << level, {}
     ends = np.cumsum(widths)
-    for b in blocks:
-        target = b.left if turn == 0 else 2 * b.left
-        node = _nodes(b.bins, trees[b.fit], level, numbers).astype(np.intp)
+    for fit, block, bins, left in blocks:
+        target = left if turn == 0 else 2 * left
+        node = _nodes(bins, trees[fit], level, numbers).astype(np.intp)
         if subsample < 1:
-            drawn = np.random.default_rng([seed, turn, *b.seed]).random(len(node), dtype=np.float32)
+            drawn = np.random.default_rng([seed, turn, *block]).random(len(node), dtype=np.float32)
             node[drawn >= subsample] = nodes
-        if b.fit not in sums:
-            sums[b.fit] = np.zeros((2, nodes, ends[-1]))
+        if fit not in sums:
+            sums[fit] = np.zeros((2, nodes, ends[-1]))
         for c, (width, end) in enumerate(zip(widths, ends)):
-            at = node * width + b.bins[c]
-            for out, weights in zip(sums[b.fit], (None, target)):
+            at = node * width + bins[c]
+            for out, weights in zip(sums[fit], (None, target)):
                 found = np.bincount(at, weights, minlength=(nodes + 1) * width)
                 out[:, end - width : end] += found.reshape(-1, width)[:nodes]
     yield sums
