@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from builders import listing, listings, members, scored, scored_row
+from listingflow import bindings
 from listingflow.operators import model
 from listingflow.operators.dedup import MatchConfig, gated_pairs
 from listingflow.plans.analytics import run_query
@@ -59,3 +60,9 @@ def test_training_rows_are_cut_before_the_exchange(spark):
     flags = spark.createDataFrame([(1, 0)], "listing_id bigint, flag int")
     text = plan(model.clean_training_set(df, members(spark, {1: "c", 2: "c"}), flags))
     assert "Window" not in text  # ranked on ids and dates alone, before the full rows are joined
+
+
+def test_batches_are_read_off_one_written_table(spark):
+    for batch in bindings._batches(spark, SF_DIR):
+        text = plan(batch)
+        assert "Window" not in text and "Join" not in text
