@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import plain
 from builders import listing, listings
-from listingflow.operators import evaluate, review
+from listingflow.operators import components, evaluate, review
 from listingflow.operators.components import connected_components
 from listingflow.operators.dedup import MatchConfig, block_sizes, find_duplicates, gated_pairs
 
@@ -276,3 +276,28 @@ def test_large_group_counts_do_not_overflow(spark):
 
 def test_config_is_open_to_change():
     assert MatchConfig().equal_numbers_match and not replace(MatchConfig(), threshold=0.56).equal_numbers_match
+
+
+def dense_rows(n):
+    """Listings of one block at places of their own within the gates of all others: pairs grow with the square."""
+    return [listing(i, lat=25.0 + (i % 20) * 1e-5, lon=55.0 + (i // 20) * 1e-5, price_aed_month=6000 + i % 7) for i in range(n)]
+
+
+def test_clusters_of_a_dense_place_come_from_few_links(spark):
+    result = find_duplicates(listings(spark, *dense_rows(300)).repartition(3))
+    assert result.links.count() < 2 * 300
+    assert result.pairs.count() == 300 * 299 // 2
+    assert found_clusters(result) == {"cluster_0": list(range(300))}
+
+
+def test_thinned_links_keep_the_components(spark, monkeypatch):
+    rng = random.Random(21)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)] + [(i, j) for i in range(500, 540) for j in range(500, i)]
+    want = plain.clusters([e for e in edges if e[0] != e[1]])
+    for held in (1 << 20, 50):
+        monkeypatch.setattr(components, "HELD", held)
+        links = components.thin_links(spark.createDataFrame(
+            [(min(e), max(e)) for e in edges], "id_a bigint, id_b bigint").coalesce(1)).collect()
+        assert plain.clusters([(r.id_a, r.id_b) for r in links]) == want
+        if held > 50:
+            assert len(links) < len(want)
