@@ -7,7 +7,8 @@ result is a ``GBTRegressionModel``. What differs is the cost. Rows are packed on
 of each number and the position of each one-hot column's one, which gives the sums of all its slots at once. Several
 fits share their passes, one for each level of a round, so that the number of jobs does not grow with the number of fits.
 
-A pass is a map over the blocks and a sum of one small array per task. Residuals are cached next to the blocks from round
+A pass is a map over the blocks and a sum of one small array per task. Rows are counted once for each of a few groups of
+columns, by all columns of the group together, and the sums of the single columns follow from those. Residuals are cached next to the blocks from round
 to round; every ``REBASE`` rounds they are worked out again from the written blocks and the trees so far, which bounds the
 lineage without writing any row again. A missing number goes with the largest ones; a missing label is an error.
 """
@@ -34,6 +35,7 @@ from listingflow.session import materialize, work_path
 
 BLOCK_ROWS = 1 << 16
 REBASE = 25
+JOINT_BINS = 1 << 13  # bins of columns that are counted together; with some nodes they stay in a core's cache
 _ALIKE = 1e-9  # shares of a gain that come from the order of sums
 
 
@@ -80,34 +82,43 @@ _Block = tuple[int, tuple[int, int], np.ndarray, np.ndarray]
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def spread(vectors: DataFrame, layout: Layout) -> DataFrame:
+    """``vectors`` with x0, x1, ...: each number, null if missing, and the place of each one-hot column's one, 0 without any.
+
+    Written next to the vectors they spare every fit and pass the unpacking of vectors.
+    """
+    array = vectors.withColumn("_array", vector_to_array("features"))
+    columns = [F.nanvl(F.get("_array", F.lit(i)), F.lit(None).cast("double")) for i in range(layout.numbers)]
+    for c, n in enumerate(layout.hot, layout.numbers):
+        columns.append(F.array_position(F.slice("_array", layout.slot(c, 1) + 1, n), 1.0).cast("double"))
+    return array.select(*vectors.columns, *(x.alias(f"x{i}") for i, x in enumerate(columns)))
+
+
 def _columns(vectors: DataFrame, label: str, layout: Layout) -> DataFrame:
-    """(x0, x1, ..., label): each number, null if missing, and the place of each one-hot column's one, 0 without any."""
+    """(x0, x1, ..., label) of vectors, spread already or not."""
     value = F.col(label).cast("double")
-    wide = vectors.select(
-        vector_to_array("features").alias("v"),
-        F.when(value.isNull() | F.isnan(value), F.raise_error(F.lit("Labels MUST NOT be Null or NaN"))).otherwise(value)
-        .alias("label"),
-    )
-    columns = [F.nanvl(F.get("v", F.lit(i)), F.lit(None).cast("double")) for i in range(layout.numbers)]
-    for c, n in enumerate(layout.hot, layout.numbers):
-        columns.append(F.array_position(F.slice("v", layout.slot(c, 1) + 1, n), 1.0).cast("double"))
-    return wide.select(*(x.alias(f"x{i}") for i, x in enumerate(columns)), "label")
+    checked = F.when(value.isNull() | F.isnan(value), F.raise_error(F.lit("Labels MUST NOT be Null or NaN"))).otherwise(value)
+    names = [f"x{i}" for i in range(layout.numbers + len(layout.hot))]
+    rows = vectors if set(names) <= set(vectors.columns) else spread(vectors.select("features", label), layout)
+    return rows.select(*names, checked.alias("label"))
 
 
 def _thresholds(rows: DataFrame, layout: Layout, max_bins: int) -> list[np.ndarray]:
     """Per number: the middles between its neighbouring values, or between its quantiles where it has many values."""
     names = [f"x{i}" for i in range(layout.numbers)]
     shares = np.linspace(0, 1, max_bins).tolist()
-    found = rows.agg(
-        *(F.percentile_approx(n, shares, 10_000).alias(n) for n in names),
-        *(F.approx_count_distinct(n).alias(f"{n}_values") for n in names),
-    ).first()
-    few = [n for n in names if found[f"{n}_values"] <= 1.5 * max_bins]
-    exact = rows.agg(*(F.collect_set(n).alias(n) for n in few)).first().asDict() if few else {}
+    if not names:
+        return []
+    quantiles = lambda n: F.percentile_approx(n, shares, 10_000).alias(n)
+    counted = rows.agg(*(F.approx_count_distinct(n).alias(n) for n in names)).first()
+    # Quantiles cost much more than the values themselves, so they are taken only of numbers with many values.
+    few = [n for n in names if counted[n] <= 1.5 * max_bins]
+    found = rows.agg(*(F.collect_set(n).alias(n) if n in few else quantiles(n) for n in names)).first().asDict()
+    if more := [n for n in few if len(found[n]) > max_bins]:
+        found |= rows.agg(*(quantiles(n) for n in more)).first().asDict()
     out = []
     for n in names:
-        values = exact[n] if len(exact.get(n, ())) in range(1, max_bins + 1) else found[n] or []
-        values = np.unique(np.array(values, dtype=np.float64))
+        values = np.unique(np.array(found[n] or [], dtype=np.float64))
         out.append((values[1:] + values[:-1]) / 2)
     return out
 
@@ -176,6 +187,26 @@ def _unpacked(row, kind: str) -> _Block:
     return row.fit, (row.part, row.block), bins, label
 
 
+def _groups(widths: list[int]) -> list[list[int]]:
+    """Columns to count together: wide ones first, each put where the product of bins stays within ``JOINT_BINS``."""
+    groups: list[tuple[int, list[int]]] = []
+    for c in sorted(range(len(widths)), key=lambda c: -widths[c]):
+        for i, (size, columns) in enumerate(groups):
+            if size * widths[c] <= JOINT_BINS:
+                groups[i] = size * widths[c], [*columns, c]
+                break
+        else:
+            groups.append((widths[c], [c]))
+    return [columns for _, columns in groups]
+
+
+def _left_out(n: int, subsample: float, seed: list[int]) -> np.ndarray:
+    """Which of ``n`` rows a round leaves out: those whose draw, of 24 bits, reaches ``subsample``."""
+    # Each word of the generator is two draws, as in its ``random(n, dtype=np.float32)``.
+    raw = np.random.default_rng(seed).bit_generator.random_raw(n + 1 >> 1).astype("<u8", copy=False).view("<u4")[:n]
+    return raw >> np.uint32(8) >= np.uint32(np.ceil(float(np.float32(subsample)) * (1 << 24)))
+
+
 def _histograms(
     blocks: Iterator[_Block], trees: list[Tree], level: int, turn: int, widths: list[int], numbers: int,
     subsample: float, seed: int,
@@ -184,22 +215,37 @@ def _histograms(
 
     Rows that the round leaves out go to a node of their own. They are drawn by block and round, alike at all levels.
     """
-    nodes, sums = 1 << level, {}
-    ends = np.cumsum(widths)
+    nodes, groups = 1 << level, _groups(widths)
+    sizes = [int(np.prod([widths[c] for c in g])) for g in groups]
+    joint: dict[int, list[np.ndarray]] = {}
     for fit, block, bins, left in blocks:
         target = left if turn == 0 else 2 * left
-        node = _nodes(bins, trees[fit], level, numbers).astype(np.intp)
+        node = _nodes(bins, trees[fit], level, numbers)
         if subsample < 1:
-            drawn = np.random.default_rng([seed, turn, *block]).random(len(node), dtype=np.float32)
-            node[drawn >= subsample] = nodes
-        if fit not in sums:
-            sums[fit] = np.zeros((2, nodes, ends[-1]))
-        for c, (width, end) in enumerate(zip(widths, ends)):
-            at = node * width + bins[c]
-            for out, weights in zip(sums[fit], (None, target)):
-                found = np.bincount(at, weights, minlength=(nodes + 1) * width)
-                out[:, end - width : end] += found.reshape(-1, width)[:nodes]
-    yield sums
+            node[_left_out(len(node), subsample, [seed, turn, *block])] = nodes
+        node = node.astype(np.intp)
+        if fit not in joint:
+            joint[fit] = [np.zeros((2, nodes, size)) for size in sizes]
+        for group, size, sums in zip(groups, sizes, joint[fit]):
+            place = bins[group[0]].astype(np.min_scalar_type(size))
+            for c in group[1:]:
+                place = place * place.dtype.type(widths[c]) + bins[c]
+            at = node * size + place
+            for out, weights in zip(sums, (None, target)):
+                out += np.bincount(at, weights, minlength=(nodes + 1) * size).reshape(-1, size)[:nodes]
+    yield {fit: _by_column(found, groups, widths) for fit, found in joint.items()}
+
+
+def _by_column(joint: list[np.ndarray], groups: list[list[int]], widths: list[int]) -> np.ndarray:
+    """The sums of the single columns, from those of groups of columns."""
+    ends = np.cumsum(widths)
+    out = np.empty((*joint[0].shape[:2], ends[-1]))
+    for group, sums in zip(groups, joint):
+        cube = sums.reshape(*sums.shape[:2], *(widths[c] for c in group))
+        for i, c in enumerate(group, 2):
+            others = tuple(a for a in range(2, cube.ndim) if a != i)
+            out[:, :, ends[c] - widths[c] : ends[c]] = cube.sum(axis=others)
+    return out
 
 
 def _split(tree: Tree, level: int, sums: np.ndarray, widths: list[int], numbers: int) -> None:

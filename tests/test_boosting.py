@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -89,3 +90,45 @@ def test_missing_numbers_and_labels(spark):
         model.fit(df.withColumn("price_aed_month", F.when(F.col("listing_id") > 3, F.col("price_aed_month"))))
     with pytest.raises(ValueError):
         model.fit_vectors(vectors.limit(0), 0, encoder)
+
+
+def test_columns_are_counted_together(monkeypatch):
+    """A block is counted once for a group of columns, and each column gets the sums that it has alone."""
+    rng = np.random.default_rng(3)
+    widths, n, calls = [8, 128, 24, 44, 3, 128, 26, 8], 900, []
+    bins = np.stack([rng.integers(0, w, n) for w in widths]).astype("u1")
+    left, tree = rng.normal(size=n), boosting.Tree.empty(3)
+    tree.column[:3], tree.place[:3] = [1, 6, 3], [60, 4, 20]
+    plain = np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    (found,) = boosting._histograms(iter([(0, (0, 1), bins, left)]), [tree], 2, 1, widths, 6, 0.85, 42)
+    assert len(calls) < len(widths)
+    drawn = np.random.default_rng([42, 1, 0, 1]).random(n, dtype=np.float32) < 0.85
+    node = boosting._nodes(bins, tree, 2, 6)
+    for c, end in enumerate(np.cumsum(widths)):
+        for k in range(4):
+            rows = drawn & (node == k)
+            sums = found[0][:, k, end - widths[c] : end]
+            assert (sums[0] == plain(bins[c][rows], minlength=widths[c])).all()
+            assert sums[1] == pytest.approx(plain(bins[c][rows], 2 * left[rows], minlength=widths[c]))
+
+
+def test_wide_columns_are_counted_alone():
+    assert sorted(map(sorted, boosting._groups([9000, 5000, 2, 2]))) == [[0], [1], [2, 3]]
+
+
+def test_quantiles_only_of_numbers_with_many_values(spark):
+    rows = spark.range(4000).select(
+        F.col("id").cast("double").alias("x0"), (F.col("id") % 150).cast("double").alias("x1"),
+        (F.col("id") % 3).cast("double").alias("x2"), F.lit(None).cast("double").alias("x3"))
+    many, near, few, none = boosting._thresholds(rows, boosting.Layout(4, ()), 128)
+    assert len(many) == 127 and 100 < len(near) <= 127 and list(few) == [0.5, 1.5] and not len(none)
+
+
+def test_written_places_spare_the_vectors(spark):
+    """Fits on rows that were spread before they were written never read a vector."""
+    encoder, vectors = vectors_of(rows_of(spark, 300))
+    params = model.ModelParams(rounds=3, subsample=1.0)
+    spread = materialize(boosting.spread(vectors, model._layout(encoder)).drop("features"), "spread")
+    a, b = (model.fit_vectors(rows, 300, encoder, params).stages[-1] for rows in (vectors, spread))
+    assert a.toDebugString.split("\n")[1:] == b.toDebugString.split("\n")[1:]
