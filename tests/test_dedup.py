@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import plain
 from builders import listing, listings
-from listingflow.operators import components, evaluate, review
+from listingflow.operators import components, dedup, evaluate, review
 from listingflow.operators.components import connected_components
 from listingflow.operators.dedup import MatchConfig, block_sizes, find_duplicates, gated_pairs
 
@@ -301,3 +301,18 @@ def test_thinned_links_keep_the_components(spark, monkeypatch):
         assert plain.clusters([(r.id_a, r.id_b) for r in links]) == want
         if held > 50:
             assert len(links) < len(want)
+
+
+def test_pairs_of_some_clusters_compare_no_other_points(spark, monkeypatch):
+    """Of whole clusters, points with several texts among them, the same pairs come from their points alone."""
+    rows = [listing(3 * i + j, title=f"word{i} garden", description=f"text{j % 2}", lat=25 + i / 50, lon=55.0) for i in range(6) for j in range(3)]
+    rows += [listing(100 + i, title="word9 garden", lat=26.0, lon=55.0 + i / 5000) for i in range(3)]
+    result = find_duplicates(listings(spark, *rows))
+    whole = {tuple(r) for r in result.pairs.select("id_a", "id_b", "score").collect()}
+    chosen = result.members.where("dup_cluster_id in ('cluster_3', 'cluster_100')")
+    ids = {r.listing_id for r in chosen.collect()}
+    compared, gated = [], dedup.gated_points
+    monkeypatch.setattr(dedup, "gated_points", lambda points, *a: compared.append(points.count()) or gated(points, *a))
+    among = {tuple(r) for r in result.pairs_among(chosen).collect()}
+    assert ids == {3, 4, 5, 100, 101, 102} and among == {p for p in whole if p[0] in ids} and len(among) > 3
+    assert compared and max(compared) <= 4
