@@ -3,11 +3,14 @@
 import hashlib
 import json
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -127,6 +130,19 @@ def test_long_repeated_words_are_counted(spark):
         ("en", 1, f"{word} b", 12, 12, 12, 24, 1_000_000)]
 
 
+def test_a_task_holds_a_small_part_of_its_text_as_words():
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"word{i}" for i in rng.integers(0, 50_000, 1000)) for _ in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts)], names=["lang", "text"])
+    every = SimpleNamespace(value=b"\xff" * (1 << 24))
+    for run in (lambda: collocations._bucketed([batch], [], 27, [1, 2], 10), lambda: collocations._named([batch], [every], 27, 1)):
+        tracemalloc.start()
+        rows = sum(out.num_rows for out in run())
+        held = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows and held < 120 << 20
+
+
 def test_no_phrases_in_empty_tables(make_docs):
     assert collocations.collocations(make_docs([])).collect() == []
     assert collocations.collocations(make_docs([(1, "a b")])).collect() == []
