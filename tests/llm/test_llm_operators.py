@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -472,6 +473,20 @@ def test_passages_are_found_whole(make_docs):
     assert passages.passages(make_docs([])).count() == 0
 
 
+def test_runs_of_a_pair_are_chained_whatever_the_batches():
+    runs = [(1, 2, p, p + d, -1) for p, d in [(100, 0), (3, 7), (140, 0), (191, 0), (4, 7), (400, 7)]]
+    seeds = [(1, 2, 10, 30, 0), (1, 2, 20, 40, 6), (1, 3, 5, 5, 0), (2, 3, 8, 9, -1)]
+    rows = sorted(runs + seeds, key=lambda r: r[:2])
+    names = ["a", "b", "place_a", "place_b", "gap"]
+    for size in (1, 2, 3, len(rows)):
+        parts = [pa.table(dict(zip(names, zip(*rows[i : i + size])))) for i in range(0, len(rows), size)]
+        found = [b for b in passages._chained((b for t in parts for b in t.to_batches()), 50)]
+        assert sorted(tuple(map(str, r.values())) for b in found for r in b.to_pylist()) == sorted(
+            tuple(map(str, r)) for r in [
+                (1, 2, [10, 20, 26], [30, 40, 46]), (1, 2, [100, 185], [100, 185]), (1, 2, [191, 236], [191, 236]),
+                (1, 2, [3, 49], [10, 56]), (1, 2, [400, 445], [407, 452]), (2, 3, [8, 53], [9, 54])])
+
+
 def test_periodic_passages_are_found_whole(make_docs):
     line, verse = prose(70, 9), prose(71, 30)
     texts = {

@@ -1,9 +1,11 @@
 import json
+import tempfile
+from pathlib import Path
 
 from builders import listing, listings
 from listingflow.plans.full_run import run_full
 from listingflow.operators.model import ModelParams
-from listingflow.session import shared_root, work_path
+from listingflow.session import materialize, shared_root, work_path
 from listingflow.sources.listings import read_listings, rejected_lines, write_records
 
 
@@ -68,3 +70,13 @@ def test_all_steps_on_one_batch(spark, tmp_path):
     assert result.scored.count() == 140 and result.load.run["rows_inserted"] == 140
     written = {p.name for p in (tmp_path / "out").iterdir()}
     assert {"duplicate_metrics", "fair_value_grid", "live_feed", "query_area_leaderboard", "model"} <= written
+
+
+def test_written_tables_leave_no_shuffle_files_and_no_setting(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    files = lambda: {*Path(tempfile.gettempdir()).glob("blockmgr-*/*/shuffle_*.data")}
+    before, kept = spark.conf.get(setting), files()
+    counts = spark.range(1000).selectExpr("id % 10 as k").repartition(3).groupBy("k").count()
+    assert materialize(counts, "counts").count() == 10
+    assert not [f for f in files() - kept if f.stat().st_size > 200] and spark.conf.get(setting) == before
+    assert counts.count() == 10
